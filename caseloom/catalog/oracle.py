@@ -283,14 +283,16 @@ def _report() -> str:
     parts += [row("missing", c, "missing_rows", a) for c, a in _profile_missing()]
     parts += [row("numeric", c, "non_numeric_rows", a) for c, a in _profile_non_numeric()]
     parts += [row("binary", c, "invalid_rows", a) for c, a in _profile_invalid()]
-    parts += [row("range", c, "row_count", f"count(*) FILTER (WHERE {p})") for c, p in _RANGES]
-    parts += [row("one_hot", c, "row_count", f"count(*) FILTER (WHERE {p})") for c, p in _ONE_HOT]
+    columns = ("age", "bmi", "year", "hbA1c_level", "blood_glucose_level")
+    parts += [row("range", c, name, f"count(*) FILTER (WHERE {p})") for c, (name, p) in zip(columns, _RANGES)]
+    parts += [row("one_hot", "one_hot", c, f"count(*) FILTER (WHERE {p})") for c, p in _ONE_HOT]
     parts += [
         row("label", "diabetes", v, f"count(*) FILTER (WHERE ({_LABEL_CLASS}) = '{v}')")
         for v in ("0", "1", "INVALID", "MISSING")
     ]
     parts.append(
-        f"SELECT 'binary' AS section, column_name, 'value' AS metric, value FROM ({_binary_values()})"
+        "SELECT 'binary values' AS section, column_name, value AS metric, CAST(row_count AS VARCHAR) AS value "
+        f"FROM ({_binary_values()})"
     )
     return _union(parts)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from caseloom.operators.cleaning import clean_rows
 from caseloom.operators.shape import share_of_total
 from caseloom.sources.encounters import encounters, key_draw, raw_encounters, raw_lines
 from caseloom.sources.readers import normalized_lines, read_table
+from caseloom.session import fill_unset
 from caseloom.sources.writers import checkpointed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,8 +24,13 @@ _REGISTRY: dict[str, Query] = {}
 
 
 def _query(function: Query) -> Query:
-    _REGISTRY[function.__name__] = function
-    return function
+    @wraps(function)
+    def tuned(spark: SparkSession, folder: str) -> DataFrame:
+        fill_unset(spark)
+        return function(spark, folder)
+
+    _REGISTRY[function.__name__] = tuned
+    return tuned
 
 
 def registered() -> dict[str, Query]:
@@ -40,7 +47,7 @@ def _typed_raw(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _loose(spark: SparkSession, folder: str) -> DataFrame:
-    return filters.keep_valid(_typed_raw(spark, folder), spec.LOOSE_VALIDITY)
+    return filters.observed_valid(_typed_raw(spark, folder), spec.LOOSE_VALIDITY)[0]
 
 
 def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,7 +77,7 @@ def encounter_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def validity_filter_strict(spark: SparkSession, folder: str) -> DataFrame:
-    valid = filters.keep_valid(_typed_raw(spark, folder), spec.STRICT_VALIDITY)
+    valid, _ = filters.observed_valid(_typed_raw(spark, folder), spec.STRICT_VALIDITY)
     return valid.select("row_id", *spec.MODEL_COLUMNS)
 
 

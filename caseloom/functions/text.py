@@ -16,9 +16,13 @@ from caseloom import spec
 # Every character Python's str.strip() removes.
 WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
-# A decimal number as text: sign, digits grouped by single underscores, point, exponent; or infinity.
+# Numbers as text: sign, digits grouped by single underscores, point, exponent; or infinity.
+_PAD = "[" + "".join(f"\\x{{{ord(char):x}}}" for char in WHITESPACE) + "]*"
 _DIGITS = r"\d+(?:_\d+)*"
-_NUMBER = rf"^[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?|(?i:inf|infinity))$"
+_NUMBER = (
+    rf"^{_PAD}([+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?|(?i:inf|infinity))){_PAD}$"
+)
+_WHOLE = rf"^{_PAD}([+-]?{_DIGITS})(?:\.0*)?{_PAD}$"
 
 _FLAGS = {"0": 0, "0.0": 0, "1": 1, "1.0": 1}
 
@@ -40,9 +44,12 @@ def is_missing(c: Column, blanks: Sequence[str] = spec.CLEANING_BLANKS) -> Colum
     return F.coalesce(F.lower(strip(c)).isin(*blanks), F.lit(True))
 
 
-def _number_text(c: Column) -> Column:
-    """The number in the text, group marks removed; the empty string if the text is anything else."""
-    return F.replace(F.regexp_extract(strip(c), _NUMBER, 0), F.lit("_"), F.lit(""))
+def _matched(c: Column, pattern: str) -> Column:
+    """The number a pattern finds, group marks removed; NULL where it finds none.
+
+    Matching first keeps the cast from failing: a failed cast costs an exception per row.
+    """
+    return F.replace(F.nullif(F.regexp_extract(c, pattern, 1), F.lit("")), F.lit("_"), F.lit(""))
 
 
 def parse_double(c: Column) -> Column:
@@ -51,13 +58,18 @@ def parse_double(c: Column) -> Column:
     The pattern turns away spellings a bare cast would take, such as '3d' or '0x1p3'. Blank markers
     are no numbers either, so no blank list is needed.
     """
-    return _number_text(c).try_cast("double")
+    return _matched(c, _NUMBER).try_cast("double")
+
+
+def plain_whole(c: Column) -> Column:
+    """A whole number as BIGINT from plain digits: '7' and '2.0' count, '2.5' and '1e3' are NULL."""
+    return _matched(c, _WHOLE).try_cast("bigint")
 
 
 def parse_whole(c: Column) -> Column:
-    """A whole number as BIGINT: '7', '2.0' and '1e3' count, '2.5' is NULL."""
-    number = _number_text(c).try_cast("decimal(38,18)")
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+    """A whole number as BIGINT in any spelling: '7', '2.0' and '1e3' count, '2.5' is NULL."""
+    number = F.when(F.lower(c).contains("e"), parse_double(c))
+    return F.coalesce(plain_whole(c), F.when(number == F.rint(number), number.try_cast("bigint")))
 
 
 def parse_flag(c: Column) -> Column:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom import spec
-from caseloom.functions.text import is_missing, parse_double, parse_whole
+from caseloom.functions.text import is_missing, parse_double, parse_whole, plain_whole
 from caseloom.operators.shape import tally
 
 
@@ -17,12 +18,12 @@ def typed(df: DataFrame) -> DataFrame:
     def column(name: str) -> Column:
         source = F.col(f"`{name}`")
         if name == "year":
-            return parse_whole(source).cast("int")
+            return plain_whole(source).cast("int")
         if name in spec.NUMERIC_COLUMNS:
             return parse_double(source)
         if name in spec.BINARY_COLUMNS:
             # Any whole number, so that values out of the 0/1 domain stay visible to the rules.
-            return parse_whole(source)
+            return plain_whole(source)
         return source
 
     return df.select(*[column(name).alias(name) for name in df.columns])
@@ -36,19 +37,18 @@ def within(column: str, limits: spec.Limits) -> Column:
 
 
 def is_valid(rules: spec.Validity) -> Column:
-    """One predicate for a whole rule set; NULL or NaN in a checked column makes it false."""
-    parts = [F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double")) for name in rules.required]
-    parts += [F.col(name).isin(0, 1) for name in rules.binary]
+    """One predicate for a whole rule set; NULL or NaN in a checked column fails it."""
+    checked = {*rules.binary, *rules.ranges}
+    parts = [F.col(name).isin(0, 1) for name in rules.binary]
     parts += [within(name, limits) for name, limits in rules.ranges.items()]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole & part
-    return F.coalesce(whole, F.lit(False))
+    # A domain or interval test already fails NULL and NaN (NaN sorts above every limit).
+    parts += [F.col(name).isNotNull() & ~F.isnan(name) for name in rules.required if name not in checked]
+    return reduce(lambda left, right: left & right, parts)
 
 
 def keep_valid(df: DataFrame, rules: spec.Validity) -> DataFrame:
-    """Rows passing a rule set."""
-    return df.na.drop(subset=list(rules.required)).where(is_valid(rules)) if rules.required else df.where(is_valid(rules))
+    """Rows passing a rule set. On stored tables the tests reach the scan as pushed filters."""
+    return df.where(is_valid(rules))
 
 
 def dropped_rows(df: DataFrame, rule_sets: Mapping[str, spec.Validity]) -> DataFrame:
@@ -60,7 +60,7 @@ def dropped_rows(df: DataFrame, rule_sets: Mapping[str, spec.Validity]) -> DataF
             name: {
                 "rows_in": F.count("*"),
                 "rows_kept": F.count_if(is_valid(rules)),
-                "rows_dropped": F.count_if(~is_valid(rules)),
+                "rows_dropped": F.count("*") - F.count_if(is_valid(rules)),
             }
             for name, rules in rule_sets.items()
         },
@@ -70,8 +70,9 @@ def dropped_rows(df: DataFrame, rule_sets: Mapping[str, spec.Validity]) -> DataF
 def observed_valid(df: DataFrame, rules: spec.Validity) -> tuple[DataFrame, Observation]:
     """Rows passing a rule set, and an observation of rows_in and rows_kept.
 
-    The counts are filled by the one action that writes the rows, so raw input is read once. Write
-    straight from it: a shuffle after the observation could count a retried task twice.
+    The counts are filled by the one action that uses the rows, so raw input is read once. Write
+    straight from it: a shuffle after the observation could count a retried task twice. The
+    observation also keeps the filter above the parsing, which would otherwise be done again in it.
     """
     seen = Observation("validity")
     counted = df.observe(seen, F.count("*").alias("rows_in"), F.count_if(is_valid(rules)).alias("rows_kept"))
@@ -91,11 +92,8 @@ def observed_report(spark: SparkSession, rule_set: str, seen: Observation) -> Da
 
 def all_given(columns: Sequence[str]) -> Column:
     """True where every named column holds a value other than the empty string."""
-    whole = F.lit(True)
-    for name in columns:
-        c = F.col(f"`{name}`")
-        whole = whole & c.isNotNull() & (c.cast("string") != "")
-    return whole
+    given = [F.coalesce(F.col(f"`{name}`").cast("string") != "", F.lit(False)) for name in columns]
+    return reduce(lambda left, right: left & right, given)
 
 
 def parsed_only(df: DataFrame, numbers: Mapping[str, str]) -> DataFrame:
@@ -121,7 +119,5 @@ def with_label(df: DataFrame, value: int, label: str = spec.LABEL) -> DataFrame:
 
 def blank_free(df: DataFrame, columns: Sequence[str], blanks: Sequence[str] = spec.CLEANING_BLANKS) -> DataFrame:
     """Rows with none of the text columns missing."""
-    whole = F.lit(True)
-    for name in columns:
-        whole = whole & ~is_missing(F.col(f"`{name}`"), blanks)
-    return df.where(whole)
+    given = [~is_missing(F.col(f"`{name}`"), blanks) for name in columns]
+    return df.where(reduce(lambda left, right: left & right, given))

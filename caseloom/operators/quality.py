@@ -1,4 +1,9 @@
-"""Data profile. Counters over any number of columns come from one wide aggregate."""
+"""Data profile.
+
+Columns are profiled as rows: one scan turns each record into (column, value) pairs that are folded
+map-side, so the plan stays small and fast to compile however many columns there are. Flag columns
+are folded per spelling first and parsed afterwards, when each spelling is left once.
+"""
 
 from __future__ import annotations
 
@@ -8,190 +13,202 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom import spec
-from caseloom.functions.text import flag_state, is_missing, parse_double, parse_flag, strip, two_place_percent
-from caseloom.operators.shape import melt, tally
+from caseloom.functions.text import flag_state, is_missing, lookup, parse_double, parse_flag, strip, two_place_percent
+from caseloom.operators.shape import melt, reindex, tally
 from caseloom.sources.readers import present
 
 _BLANKS = spec.PROFILE_BLANKS
+_ONE_HOT_CHECKS = ("exactly one flag", "all flags zero", "several flags", "non-binary flag")
 
 
 def _c(name: str) -> Column:
     return F.col(f"`{name}`").cast("string")
 
 
-class _Parsed:
-    """A projection of parsed columns under plain names, each parse done once, for one aggregate above it."""
-
-    def __init__(self, df: DataFrame) -> None:
-        self._df = df
-        self._columns: dict[tuple[str, str], Column] = {}
-
-    def _add(self, kind: str, name: str, parsed: Column) -> Column:
-        self._columns.setdefault((kind, name), parsed)
-        return F.col(f"{kind}_{list(self._columns).index((kind, name))}")
-
-    def missing(self, name: str) -> Column:
-        return self._add("missing", name, is_missing(_c(name), _BLANKS))
-
-    def number(self, name: str) -> Column:
-        return self._add("number", name, parse_double(_c(name)))
+def _pairs(df: DataFrame, columns: Sequence[str], value: str = "value") -> DataFrame:
+    return melt(df, {name: _c(name) for name in columns}, {}, "column_name", value)
 
-    def state(self, name: str) -> Column:
-        return self._add("state", name, flag_state(_c(name), _BLANKS))
 
-    def table(self) -> DataFrame:
-        return self._df.select(
-            *[parsed.alias(f"{kind}_{i}") for i, ((kind, _), parsed) in enumerate(self._columns.items())]
-        )
+def _every(df: DataFrame, key: str, names: Sequence[str], count: str) -> DataFrame:
+    """One row per name in order, counting 0 where the table had nothing."""
+    return reindex(df, key, names).orderBy("ord").withColumn(count, F.coalesce(count, F.lit(0))).drop("ord")
 
 
-_Counters = dict[str, dict[str, Column]]
+def _column_facts(
+    df: DataFrame, columns: Sequence[str], limits: Mapping[str, tuple[float, float]] | None = None
+) -> DataFrame:
+    """Per column: missing values, number bounds, values that are no numbers, numbers out of limits.
 
-
-def _missing(p: _Parsed, names: Sequence[str]) -> _Counters:
-    return {name: {"missing_rows": F.count_if(p.missing(name))} for name in names}
-
-
-def _numeric(p: _Parsed, names: Sequence[str]) -> _Counters:
-    return {
-        name: {
-            "min_value": F.min(p.number(name)),
-            "max_value": F.max(p.number(name)),
-            "non_numeric_rows": F.count_if(~p.missing(name) & p.number(name).isNull()),
-        }
-        for name in names
-    }
-
-
-def _invalid(p: _Parsed, names: Sequence[str]) -> _Counters:
-    return {name: {"invalid_rows": F.count_if(p.state(name) == "INVALID")} for name in names}
+    Facts a caller does not select are pruned from the plan, parsing included.
+    """
+    name, value = F.col("column_name"), F.col("value")
+    parsed = _pairs(df, columns).select(
+        "column_name", is_missing(value, _BLANKS).alias("missing"), parse_double(value).alias("number")
+    )
+    number = F.col("number")
+    facts = [
+        F.count("*").alias("rows"),
+        F.count_if("missing").alias("missing_rows"),
+        F.min("number").alias("min_value"),
+        F.max("number").alias("max_value"),
+        F.count_if(number.isNull() & ~F.col("missing")).alias("non_numeric_rows"),
+    ]
+    if limits:
+        parsed = parsed.withColumns({f"limit_{i}": lookup(name, {c: v[i] for c, v in limits.items()}) for i in (0, 1)})
+        facts.append(F.count_if((number < F.col("limit_0")) | (number > F.col("limit_1"))).alias("outside_rows"))
+    return parsed.groupBy("column_name").agg(*facts)
 
 
-def _one_hot(p: _Parsed, flags: Sequence[str]) -> _Counters:
-    # A missing or invalid flag makes the sum NULL.
-    numbers = [p.state(name).try_cast("int") for name in flags]
-    flag_sum = sum(numbers[1:], numbers[0])
+def _limits(checks: Mapping[str, tuple]) -> dict[str, tuple[float, float]]:
     return {
-        "exactly one flag": {"row_count": F.count_if(flag_sum == 1)},
-        "all flags zero": {"row_count": F.count_if(flag_sum == 0)},
-        "several flags": {"row_count": F.count_if(flag_sum > 1)},
-        "non-binary flag": {"row_count": F.count_if(flag_sum.isNull())},
+        column: (float(low), float("inf") if high is None else float(high)) for column, low, high in checks.values()
     }
 
 
-def _ranges(p: _Parsed, df: DataFrame, checks: Mapping[str, tuple]) -> _Counters:
-    counters = {}
-    for name, (column, low, high) in checks.items():
-        number = p.number(column) if column in df.columns else F.lit(None).cast("double")
-        outside = number < float(low)
-        if high is not None:
-            outside = outside | (number > float(high))
-        counters[name] = {"row_count": F.count_if(outside)}
-    return counters
-
-
 def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Missing values per column."""
-    p = _Parsed(df)
-    counters = _missing(p, present(df, columns) if columns else df.columns)
-    return tally(p.table(), "column_name", counters)
+    names = present(df, columns) if columns else df.columns
+    facts = _column_facts(df, names).select("column_name", "missing_rows")
+    return _every(facts, "column_name", names, "missing_rows")
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str] = spec.NUMERIC_COLUMNS) -> DataFrame:
     """Least and greatest number per column and the values that are not numbers; NULL if there are none."""
-    p = _Parsed(df)
-    counters = _numeric(p, present(df, columns))
-    return tally(p.table(), "column_name", counters)
+    names = present(df, columns)
+    facts = _column_facts(df, names).select("column_name", "min_value", "max_value", "non_numeric_rows")
+    return _every(facts, "column_name", names, "non_numeric_rows")
 
 
-def binary_profile(df: DataFrame, columns: Sequence[str] = spec.BINARY_COLUMNS) -> DataFrame:
-    """Distinct non-missing values of 0/1 columns with their row counts.
+def _spellings(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per column and spelling."""
+    return _pairs(df, columns, "raw").groupBy("column_name", "raw").agg(F.count("*").alias("row_count"))
 
-    One output row per distinct value rather than a list per column, so a column full of stray
-    values stays a distributed table.
-    """
-    long = melt(df, {name: _c(name) for name in present(df, columns)}, {}, "column_name", "raw")
-    counts = long.groupBy("column_name", "raw").agg(F.count("*").alias("row_count"))
-    # Parsing comes after the first fold, where each spelling is left once.
+
+def _flag_values(spellings: DataFrame) -> DataFrame:
     shown = F.coalesce(parse_flag(F.col("raw")).cast("string"), strip(F.col("raw")))
     return (
-        counts.where(~is_missing(F.col("raw"), _BLANKS))
+        spellings.where(~is_missing(F.col("raw"), _BLANKS))
         .groupBy("column_name", shown.alias("value"))
         .agg(F.sum("row_count").alias("row_count"))
         .withColumn("valid", F.col("value").isin("0", "1"))
     )
 
 
+def binary_profile(df: DataFrame, columns: Sequence[str] = spec.BINARY_COLUMNS) -> DataFrame:
+    """Distinct non-missing values of 0/1 columns with their row counts.
+
+    One output row per distinct value rather than a list per column, so a column full of stray
+    values stays a distributed table.
+    """
+    return _flag_values(_spellings(df, present(df, columns)))
+
+
 def invalid_flag_counts(df: DataFrame, columns: Sequence[str] = spec.BINARY_COLUMNS) -> DataFrame:
     """Non-missing values outside 0/1 per column."""
-    p = _Parsed(df)
-    counters = _invalid(p, present(df, columns))
-    return tally(p.table(), "column_name", counters)
+    names = present(df, columns)
+    invalid = F.coalesce(flag_state(F.col("raw")) == "INVALID", F.lit(False))
+    counts = _spellings(df, names).groupBy("column_name").agg(
+        F.sum(F.when(invalid, F.col("row_count")).otherwise(0)).alias("invalid_rows")
+    )
+    return _every(counts, "column_name", names, "invalid_rows")
 
 
 def label_distribution(df: DataFrame, label: str = spec.LABEL) -> DataFrame:
     """Rows per label class, with MISSING and INVALID as classes, and their percent of all rows."""
     state = F.coalesce(flag_state(_c(label)), F.lit("MISSING"))
-    counts = df.groupBy(state.alias("label_class")).agg(F.count("*").alias("row_count"))
+    counts = df.select(state.alias("label_class")).groupBy("label_class").agg(F.count("*").alias("row_count"))
     total = counts.agg(F.sum("row_count")).scalar()
     return counts.withColumn("percent", two_place_percent(F.col("row_count"), total))
 
 
+def _one_hot_state(flags: Sequence[str]) -> Column:
+    # A missing or invalid flag makes the sum NULL.
+    numbers = [parse_flag(_c(name)) for name in flags]
+    codes = {0: _ONE_HOT_CHECKS[1], 1: _ONE_HOT_CHECKS[0]} | {n: _ONE_HOT_CHECKS[2] for n in range(2, len(flags) + 1)}
+    return lookup(sum(numbers[1:], numbers[0]), codes, _ONE_HOT_CHECKS[3])
+
+
 def one_hot_consistency(df: DataFrame, flags: Sequence[str] = spec.RACE_FLAGS) -> DataFrame:
     """Rows by state of a one-hot group; no rows if a flag column is absent."""
-    p = _Parsed(df)
     complete = present(df, flags) == list(flags)
-    counters = _one_hot(p, flags if complete else df.columns[:1])
-    result = tally(p.table(), "check_name", counters)
-    return result if complete else result.where(F.lit(False))
+    state = _one_hot_state(flags) if complete else F.lit(_ONE_HOT_CHECKS[3])
+    counts = df.select(state.alias("check_name")).groupBy("check_name").agg(F.count("*").alias("row_count"))
+    return _every(counts, "check_name", _ONE_HOT_CHECKS, "row_count").where(F.lit(complete))
 
 
 def out_of_range_counts(df: DataFrame, checks: Mapping[str, tuple] = spec.RANGE_CHECKS) -> DataFrame:
-    """Rows failing each range check; values that are not numbers do not count."""
-    p = _Parsed(df)
-    counters = _ranges(p, df, checks)
-    return tally(p.table(), "check_name", counters)
+    """Rows failing each range check (one per column); values that are not numbers do not count."""
+    limits = _limits(checks)
+    facts = _column_facts(df, present(df, limits), limits)
+    names = {column: check for check, (column, _, _) in checks.items()}
+    counts = facts.select(lookup(F.col("column_name"), names).alias("check_name"), F.col("outside_rows").alias("row_count"))
+    return _every(counts, "check_name", list(checks), "row_count")
+
+
+def _entry(section: str, column: Column, metric: Column | str, value: Column) -> Column:
+    metric = F.lit(metric) if isinstance(metric, str) else metric
+    return F.struct(
+        F.lit(section).alias("section"), column.alias("column_name"), metric.alias("metric"), value.alias("value")
+    )
 
 
 def profile_report(df: DataFrame, label: str = spec.LABEL) -> DataFrame:
     """The whole profile as (section, column_name, metric, value) text rows.
 
-    Two passes: one wide aggregate for all counters, one grouping for the distinct flag values.
+    Two passes over the table: facts per column, and spellings per flag column with the one-hot state
+    as one more flag. Everything else works on those folded rows.
     """
-    p = _Parsed(df)
-    sections: list[tuple[str, _Counters]] = [
-        ("size", {"table": {"rows": F.count("*"), "columns": F.max(F.lit(len(df.columns)))}}),
-        ("missing", _missing(p, df.columns)),
-        ("numeric", _numeric(p, present(df, spec.NUMERIC_COLUMNS))),
-        ("binary", _invalid(p, present(df, spec.BINARY_COLUMNS))),
-        ("range", _ranges(p, df, spec.RANGE_CHECKS)),
-    ]
-    if label in df.columns:
-        state = F.coalesce(p.state(label), F.lit("MISSING"))
-        classes = ("0", "1", "INVALID", "MISSING")
-        sections.append(("label", {label: {name: F.count_if(state == name) for name in classes}}))
-    if present(df, spec.RACE_FLAGS) == spec.RACE_FLAGS:
-        sections.append(("one_hot", _one_hot(p, spec.RACE_FLAGS)))
-    counters = [
-        (section, column, metric, aggregate)
-        for section, members in sections
-        for column, measures in members.items()
-        for metric, aggregate in measures.items()
+    name = F.col("column_name")
+    numeric = present(df, spec.NUMERIC_COLUMNS)
+    binary = present(df, spec.BINARY_COLUMNS)
+    checks = {check: entry for check, entry in spec.RANGE_CHECKS.items() if entry[0] in df.columns}
+    text = {fact: F.col(fact).cast("string") for fact in ("rows", "missing_rows", "min_value", "max_value")}
+    text |= {fact: F.col(fact).cast("string") for fact in ("non_numeric_rows", "outside_rows")}
+
+    first, table = name == df.columns[0], F.lit("table")
+    facts = [
+        F.when(first, _entry("size", table, "rows", text["rows"])),
+        F.when(first, _entry("size", table, "columns", F.lit(str(len(df.columns))))),
+        _entry("missing", name, "missing_rows", text["missing_rows"]),
+        *[
+            F.when(name.isin(*numeric), _entry("numeric", name, fact, text[fact]))
+            for fact in ("min_value", "max_value", "non_numeric_rows")
+        ],
+        F.when(
+            name.isin(*[column for column, _, _ in checks.values()]),
+            _entry("range", name, lookup(name, {c: check for check, (c, _, _) in checks.items()}), text["outside_rows"]),
+        ),
     ]
-    wide = p.table().agg(*[aggregate.alias(f"m{i}") for i, (*_, aggregate) in enumerate(counters)])
-    rows = [
-        F.struct(
-            F.lit(section).alias("section"),
-            F.lit(column).alias("column_name"),
-            F.lit(metric).alias("metric"),
-            F.col(f"m{i}").cast("string").alias("value"),
-        )
-        for i, (section, column, metric, _) in enumerate(counters)
+    by_column = _column_facts(df, df.columns, _limits(checks)).select(F.inline(F.array_compact(F.array(*facts))))
+
+    one_hot = "one_hot" if present(df, spec.RACE_FLAGS) == spec.RACE_FLAGS else None
+    dimensions = {column: _c(column) for column in binary}
+    if one_hot:
+        dimensions[one_hot] = _one_hot_state(spec.RACE_FLAGS)
+    raw, n = F.col("raw"), F.col("row_count")
+    state = F.coalesce(flag_state(raw), F.lit("MISSING"))
+    is_flag = name != "one_hot"
+
+    def counted(condition: Column) -> Column:
+        return F.when(condition, n).otherwise(F.lit(0))
+
+    shown = F.coalesce(parse_flag(raw).cast("string"), strip(raw))
+    spellings = melt(df, dimensions, {}, "column_name", "raw").groupBy("column_name", "raw").agg(F.count("*").alias("row_count"))
+    entries = [
+        F.when(is_flag, _entry("binary", name, "invalid_rows", counted(state == "INVALID"))),
+        F.when(is_flag & (state != "MISSING"), _entry("binary values", name, shown, n)),
+        *[
+            F.when(name == label, _entry("label", name, one, counted(state == one)))
+            for one in ("0", "1", "INVALID", "MISSING")
+        ],
+        *[F.when(~is_flag, _entry("one_hot", name, one, counted(raw == one))) for one in _ONE_HOT_CHECKS],
     ]
-    values = binary_profile(df).select(
-        F.lit("binary").alias("section"), "column_name", F.lit("value").alias("metric"), "value"
+    by_value = (
+        spellings.select(F.inline(F.array_compact(F.array(*entries))))
+        .groupBy("section", "column_name", "metric")
+        .agg(F.sum("value").cast("string").alias("value"))
     )
-    return wide.select(F.inline(F.array(*rows))).unionByName(values)
+    return by_column.unionByName(by_value)
 
 
 def table_size(df: DataFrame) -> DataFrame:

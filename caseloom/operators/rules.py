@@ -48,13 +48,20 @@ def screen_rules(
     A rule without matches has rate 0. Any Column predicate can be a rule.
     """
     rules = default_rules() if rules is None else rules
-    positive = parse_flag(F.col(label).cast("string")) == 1
+    # Each rule is evaluated once per row; the counters read the results.
+    flags = df.select(
+        (parse_flag(F.col(label).cast("string")) == 1).alias("positive"),
+        *[rule.alias(f"rule_{i}") for i, rule in enumerate(rules.values())],
+    )
     counts = tally(
-        df,
+        flags,
         "rule_name",
         {
-            name: {"matched_rows": F.count_if(rule), "diabetes_count": F.count_if(rule & positive)}
-            for name, rule in rules.items()
+            name: {
+                "matched_rows": F.count_if(F.col(f"rule_{i}")),
+                "diabetes_count": F.count_if(F.col(f"rule_{i}") & F.col("positive")),
+            }
+            for i, name in enumerate(rules)
         },
     )
     rate = F.coalesce(F.try_divide(F.col("diabetes_count"), F.col("matched_rows")), F.lit(0.0))

@@ -4,23 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# The JVM does not compile methods over 8000 bytes of bytecode. Stages that would need a longer one
+# run faster as separate operators, so let Spark fall back at that size.
+_TUNING = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+_DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
 
 def build_session(app: str = "caseloom", master: str | None = None, **conf: str) -> SparkSession:
     """Create or reuse a session with adaptive execution on and a fixed time zone."""
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-    )
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in conf.items():
+    for key, value in {**_DEFAULTS, **_TUNING, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def fill_unset(spark: SparkSession) -> None:
+    """Apply the run-time tuning to a session made elsewhere, where its owner set nothing."""
+    given = spark.sparkContext.getConf()
+    for key, value in _TUNING.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """The session's shuffle partition count, used to size ordered parts."""
     return max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

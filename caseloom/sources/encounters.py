@@ -121,9 +121,8 @@ def encounters(spark: SparkSession, folder: str, columns: Iterable[str] | None =
 
 
 def _hundredths(c: Column) -> Column:
-    units = F.floor(c * 100.0 + 0.5)
-    text = F.format_string("%d.%02d", F.floor(units / 100), units % 100)
-    return F.when(c.isNotNull(), text)
+    """Fixed-point text with two decimals."""
+    return (F.floor(c * 100.0 + 0.5) / 100.0).cast("decimal(18,2)").cast("string")
 
 
 def _every(step: int) -> Column:
