@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom import spec
@@ -47,7 +47,11 @@ def is_valid(rules: spec.Validity) -> Column:
 
 
 def keep_valid(df: DataFrame, rules: spec.Validity) -> DataFrame:
-    """Rows passing a rule set. On stored tables the tests reach the scan as pushed filters."""
+    """Rows passing a rule set.
+
+    On a stored typed table the tests reach the scan as pushed filters. Store `typed` rows before
+    filtering them: a filter over unstored rows moves below the parsing and parses again.
+    """
     return df.where(is_valid(rules))
 
 
@@ -67,29 +71,6 @@ def dropped_rows(df: DataFrame, rule_sets: Mapping[str, spec.Validity]) -> DataF
     )
 
 
-def observed_valid(df: DataFrame, rules: spec.Validity) -> tuple[DataFrame, Observation]:
-    """Rows passing a rule set, and an observation of rows_in and rows_kept.
-
-    The counts are filled by the one action that uses the rows, so raw input is read once. Write
-    straight from it: a shuffle after the observation could count a retried task twice. The
-    observation also keeps the filter above the parsing, which would otherwise be done again in it.
-    """
-    seen = Observation("validity")
-    counted = df.observe(seen, F.count("*").alias("rows_in"), F.count_if(is_valid(rules)).alias("rows_kept"))
-    return keep_valid(counted, rules), seen
-
-
-def observed_report(spark: SparkSession, rule_set: str, seen: Observation) -> DataFrame:
-    """The filled observation as a one-row table shaped like `dropped_rows`."""
-    rows_in, rows_kept = seen.get["rows_in"], seen.get["rows_kept"]
-    return spark.range(1).select(
-        F.lit(rule_set).alias("rule_set"),
-        F.lit(rows_in).cast("bigint").alias("rows_in"),
-        F.lit(rows_kept).cast("bigint").alias("rows_kept"),
-        F.lit(rows_in - rows_kept).cast("bigint").alias("rows_dropped"),
-    )
-
-
 def all_given(columns: Sequence[str]) -> Column:
     """True where every named column holds a value other than the empty string."""
     given = [F.coalesce(F.col(f"`{name}`").cast("string") != "", F.lit(False)) for name in columns]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from caseloom import spec
 from caseloom.operators.artifact import cut_offs, final_table, with_risk_band
 from caseloom.operators.cohorts import risk_aggregation, risk_band_summary
-from caseloom.operators.filters import observed_report, observed_valid, typed, with_row_id
+from caseloom.operators.filters import dropped_rows, keep_valid, typed, with_row_id
 from caseloom.operators.metrics import calibration_check, metrics_row, scores_row
 from caseloom.operators.models import (
     apply_calibration,
@@ -31,10 +31,12 @@ _SCORE = "prob_diabetic"
 
 def prepare(spark: SparkSession, source: str, out: str) -> None:
     """Validated rows with an identity, and the report of what was dropped."""
-    raw = typed(require_columns(read_delimited(spark, source), spec.MODEL_COLUMNS))
-    valid, seen = observed_valid(raw, spec.STRICT_VALIDITY)
-    write_table(with_row_id(valid.select(*spec.MODEL_COLUMNS)), f"{out}/processed")
-    write_report(observed_report(spark, "strict", seen), f"{out}/evaluation/dropped_rows")
+    raw = require_columns(read_delimited(spark, source), spec.MODEL_COLUMNS)
+    # The text is read and parsed once; counting and filtering work on the stored columns.
+    write_table(typed(raw.select(*spec.MODEL_COLUMNS)), f"{out}/typed")
+    rows = read_table(spark, f"{out}/typed")
+    write_report(dropped_rows(rows, {"strict": spec.STRICT_VALIDITY}), f"{out}/evaluation/dropped_rows")
+    write_table(with_row_id(keep_valid(rows, spec.STRICT_VALIDITY)), f"{out}/processed")
 
 
 def split(spark: SparkSession, out: str) -> None:

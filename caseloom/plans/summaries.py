@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from caseloom import spec
 from caseloom.operators.cohorts import bmi_bucket_summary, comorbidity_profile, yearly_summary
-from caseloom.operators.filters import observed_report, observed_valid, typed
+from caseloom.operators.filters import dropped_rows, keep_valid, typed
 from caseloom.sources.readers import normalized_lines, read_lines, read_table, table_from_lines
 from caseloom.sources.writers import write_lines, write_report, write_table
 
@@ -20,10 +20,12 @@ def run_summaries(spark: SparkSession, source: str, out: str) -> dict[str, str]:
         "before_sample": write_lines(lines.limit(20), f"{out}/before_sample"),
         "after_sample": write_lines(tidy.limit(20), f"{out}/after_sample"),
     }
-    rows = typed(table_from_lines(tidy))
-    valid, seen = observed_valid(rows, spec.LOOSE_VALIDITY)
-    paths["filtered"] = write_table(valid, f"{out}/filtered")
-    paths["dropped_rows"] = write_report(observed_report(spark, "loose", seen), f"{out}/dropped_rows", sep="\t")
+    # The text is read and parsed once; counting and filtering work on the stored columns.
+    paths["typed"] = write_table(typed(table_from_lines(tidy)), f"{out}/typed")
+    rows = read_table(spark, paths["typed"])
+    dropped = dropped_rows(rows, {"loose": spec.LOOSE_VALIDITY})
+    paths["dropped_rows"] = write_report(dropped, f"{out}/dropped_rows", sep="\t")
+    paths["filtered"] = write_table(keep_valid(rows, spec.LOOSE_VALIDITY), f"{out}/filtered")
     kept = read_table(spark, paths["filtered"])
     reports: dict[str, tuple[DataFrame, list]] = {
         "bmi_bucket_summary": (bmi_bucket_summary(kept), [F.desc("diabetes_rate"), "bucket"]),
