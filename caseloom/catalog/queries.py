@@ -43,7 +43,8 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 
 def _typed_raw(spark: SparkSession, folder: str) -> DataFrame:
-    return filters.typed(raw_encounters(spark, folder))
+    # Parsed once and stored, as in the plans: a filter over unstored rows would parse again.
+    return checkpointed(filters.typed(raw_encounters(spark, folder)))
 
 
 def _loose(spark: SparkSession, folder: str) -> DataFrame:
