@@ -33,5 +33,5 @@ def run_summaries(spark: SparkSession, source: str, out: str) -> dict[str, str]:
         "numeric_signals": (comorbidity_profile(kept), ["hypertension", "heart_disease"]),
     }
     for name, (table, order) in reports.items():
-        paths[name] = write_report(table, f"{out}/{name}", order, sep="\t")
+        paths[name] = write_report(table, f"{out}/{name}", order, sep="\t", four_decimals=True)
     return paths

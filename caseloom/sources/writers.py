@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caseloom.functions.text import four_places
+
 
 def write_table(df: DataFrame, path: str) -> str:
     """Write Parquet, replacing what is there."""
@@ -30,13 +32,18 @@ def write_report(
     order: Sequence[str | Column] = (),
     columns: Sequence[str] | None = None,
     sep: str = ",",
+    four_decimals: bool = False,
 ) -> str:
-    """Write an aggregated report as one sorted file.
+    """Write an aggregated report as one sorted file, fractions as fixed four-decimal text if asked.
 
     Only finished rows move to the single writer; the aggregation above it stays spread out.
     """
     one = df.repartition(1)
-    return write_delimited(one.sortWithinPartitions(*order) if order else one, path, columns, sep)
+    if order:
+        one = one.sortWithinPartitions(*order)
+    if four_decimals:
+        one = one.withColumns({name: four_places(F.col(name)) for name, kind in df.dtypes if kind == "double"})
+    return write_delimited(one, path, columns, sep)
 
 
 def write_lines(df: DataFrame, path: str, column: str = "value") -> str:
