@@ -10,7 +10,7 @@ from caseloom.operators.cohorts import PREVALENCE_COLUMNS, cohort_prevalence, in
 from caseloom.operators.quality import category_values, derived_field_checks, key_repeats, profile_report
 from caseloom.operators.ranking import rank_cohorts, rank_locations, typed_summary
 from caseloom.operators.rules import screen_rules
-from caseloom.sources.readers import key_and_category, read_delimited, read_result, read_table, read_with_detected_header
+from caseloom.sources.readers import has_header, key_and_category, read_delimited, read_result, read_table
 from caseloom.sources.writers import write_delimited, write_report, write_table
 from caseloom import spec
 
@@ -19,10 +19,12 @@ def run_evidence(
     spark: SparkSession, source: str, out: str, sep: str = ",", min_size: int = spec.MIN_COHORT_SIZE
 ) -> dict[str, str]:
     """From a raw delimited file or folder to the evidence tables under `out`; returns their paths."""
-    raw = read_delimited(spark, source, sep)
-    paths = {"data_quality": write_report(profile_report(raw), f"{out}/data_quality", ["section", "column_name", "metric", "value"])}
+    # The text is split into columns once; the steps below read the stored columns they need.
+    paths = {"raw": write_table(read_delimited(spark, source, sep), f"{out}/raw")}
+    raw = read_table(spark, paths["raw"])
+    report = profile_report(raw).orderBy("section", "column_name", "metric")
+    paths["data_quality"] = write_delimited(report, f"{out}/data_quality")
 
-    # Stored once as Parquet for the steps below, and as text for other readers.
     paths["cleaned"] = write_table(clean_rows(raw), f"{out}/cleaned")
     cleaned = read_table(spark, paths["cleaned"])
     paths["cleaned_csv"] = write_delimited(cleaned, f"{out}/cleaned_csv", spec.CLEAN_COLUMNS)
@@ -36,8 +38,8 @@ def run_evidence(
 
     paths["rules"] = write_report(screen_rules(cleaned), f"{out}/rules", [F.desc("prevalence_rate"), "rule_name"])
 
-    any_header = read_with_detected_header(spark, source, sep)
-    key, category = key_and_category(any_header)
-    paths["key_repeats"] = write_report(key_repeats(any_header, key), f"{out}/key_repeats", [F.desc("row_count"), "key"])
-    paths["category_values"] = write_report(category_values(any_header, category), f"{out}/category_values", ["category"])
+    keyed = raw if has_header(spark, source, sep) else read_delimited(spark, source, sep, header=False)
+    key, category = key_and_category(keyed)
+    paths["key_repeats"] = write_report(key_repeats(keyed, key), f"{out}/key_repeats", [F.desc("row_count"), "key"])
+    paths["category_values"] = write_report(category_values(keyed, category), f"{out}/category_values", ["category"])
     return paths

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseloom import spec
-from caseloom.functions.text import normalize_line, strip
+from caseloom.functions.text import normalize_line
 
 
 def _check_delimiter(sep: str) -> None:
@@ -58,14 +58,18 @@ def read_delimited(
     return clean_header(df) if header else df
 
 
-def read_with_detected_header(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Read delimited text, taking the first row as header if any of its cells is not all digits."""
+def has_header(spark: SparkSession, path: str, sep: str = ",") -> bool:
+    """True if any cell of the first row is not all digits."""
     _check_delimiter(sep)
     first = spark.read.option("sep", sep).option("inferSchema", False).csv(path).first()
     if first is None:
         raise ValueError(f"{path}: empty file")
-    header = any(not (cell or "").isdigit() for cell in first)
-    return read_delimited(spark, path, sep, header=header)
+    return any(not (cell or "").isdigit() for cell in first)
+
+
+def read_with_detected_header(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """Read delimited text, taking the first row as header if it looks like one."""
+    return read_delimited(spark, path, sep, header=has_header(spark, path, sep))
 
 
 def key_and_category(df: DataFrame) -> tuple[str, str]:
@@ -135,8 +139,3 @@ def single_row(df: DataFrame) -> Row:
     if row is None:
         raise ValueError("result table is empty")
     return row
-
-
-def stripped(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Strip white space in the named text columns."""
-    return df.withColumns({name: strip(F.col(f"`{name}`")) for name in columns})

@@ -6,6 +6,7 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from compare import connect, differences
 
 import __spark_entry__ as entry_points
@@ -76,6 +77,34 @@ def test_unused_joins_are_left_out(spark, folder):
     assert "Join" not in text and "lineitem" not in text
 
 
+def test_a_customer_with_a_third_of_all_orders_is_split(spark, tmp_path):
+    source = "/root/testdata/sf0.01"
+    hot = F.when(F.col("o_orderkey") % 3 == 0, F.lit(7).cast("bigint")).otherwise(F.col("o_custkey"))
+    orders = spark.read.parquet(f"{source}/orders.parquet").withColumn("o_custkey", hot)
+    orders.repartition(8).write.parquet(f"{tmp_path}/orders.parquet")
+    for name in ("customer", "nation"):
+        write_table(spark.read.parquet(f"{source}/{name}.parquet"), f"{tmp_path}/{name}.parquet")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        df = encounters(spark, str(tmp_path), ["row_id", "smoking_history"])
+        rows = df.collect()
+        text = plan(df)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert len({r.row_id for r in rows}) == len(rows) == 15000
+    assert "SortMergeJoin(skew=true)" in text
+
+
 def test_no_cross_joins_or_python_workers(spark, folder, stored):
     typed = read_table(spark, f"{stored}/typed")
     for df in (

@@ -304,6 +304,8 @@ def test_models_learn_and_calibrate(spark):
     out = models.apply_calibration(model, platt, parts["test"], ["row_id"])
     check = metrics.calibration_check(out, "prob_diabetic_raw", "prob_diabetic").first()
     assert abs(check.post_avg - check.true_prev) < abs(check.pre_avg - check.true_prev)
+    assert len(models.assemble(df).first()["features"]) == 6
+    assert filters.with_label(df, 1).count() == int(y.sum())
     forest = models.fit_forest(parts["train"])
     ranked = models.feature_importance(forest, df).orderBy("rank").collect()
     assert [r.feature for r in ranked][:2] == names[:2]
