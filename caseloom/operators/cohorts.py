@@ -12,6 +12,7 @@ from caseloom.functions.bands import bucketize, comorbidity_tier, lab_outlier, r
 from caseloom.functions.text import lookup, parse_flag
 from caseloom.operators.shape import melt, ordinal_of, reindex
 from caseloom.sources.readers import present
+from caseloom.sources.writers import checkpointed
 
 PREVALENCE_COLUMNS = ["cohort_dimension", "cohort_value", "cohort_size", "diabetes_count", "prevalence_rate"]
 
@@ -233,18 +234,19 @@ def label_crosstab(
 def group_rates(df: DataFrame, dimensions: Mapping[str, Column], label: str = spec.LABEL) -> DataFrame:
     """Labelled rows, positives and percent rate per group, next to the overall percent rate.
 
-    Groups of all dimensions come from one scan. The overall rate is a scalar subquery over the label
-    column alone, so rows outside all bands of a dimension count in it.
+    All groups and the whole table, as one more dimension with a single value, come from one scan. The
+    groups are stored, since they are read twice. Rows outside all bands count in the overall rate.
     """
-    long = melt(df, dimensions, {"y": F.col(label)}, "dimension", "bucket")
-    overall = df.agg(F.avg(label) * 100).scalar()
-    return (
+    whole = "all rows"
+    long = melt(df, {**dimensions, whole: F.lit(whole)}, {"y": F.col(label)}, "dimension", "bucket")
+    stats = checkpointed(
         long.where(F.col("bucket").isNotNull())
         .groupBy("dimension", "bucket")
         .agg(F.count("y").alias("total"), F.sum("y").alias("diabetic"))
         .withColumn("rate", F.try_divide(F.col("diabetic"), F.col("total")) * 100)
-        .withColumn("overall_rate", overall)
     )
+    overall = stats.where(F.col("dimension") == whole).select("rate").scalar()
+    return stats.where(F.col("dimension") != whole).withColumn("overall_rate", overall)
 
 
 def comorbidity_tiers(df: DataFrame, label: str = spec.LABEL) -> DataFrame:
@@ -264,9 +266,10 @@ def comorbidity_tiers(df: DataFrame, label: str = spec.LABEL) -> DataFrame:
 def rate_ratios(rates: DataFrame, baseline: Mapping[str, str], rate: str = "rate") -> DataFrame:
     """Each group's rate over the rate of its dimension's baseline group.
 
-    `rates` has one row per (dimension, bucket). A dimension without a baseline gets NULL. The baseline
-    rates are conditional aggregates, so they read the same shuffled groups instead of a second scan.
+    `rates` has one row per (dimension, bucket); it is stored, since it is read twice. A dimension
+    without a baseline gets NULL.
     """
+    rates = checkpointed(rates)
     dimension = F.col("dimension")
     found = [
         F.max(F.when((dimension == name) & (F.col("bucket") == bucket), F.col(rate))).alias(f"b{i}")

@@ -64,8 +64,9 @@ def running_totals(
     if cuts:
         edges = [float("-inf"), *cuts, float("inf")]
         cut = Bucketizer(splits=edges, inputCol=key, outputCol="_part").transform(table)
+        cut = cut.withColumn("_part", F.col("_part").cast("int"))
     else:
-        cut = table.withColumn("_part", F.lit(0.0))
+        cut = table.withColumn("_part", F.lit(0))
 
     direction = F.desc if descending else F.asc
     sums = cut.groupBy("_part").agg(*[F.sum(m).alias(m) for m in measures])

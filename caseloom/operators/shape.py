@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.functions.text import lookup
+from caseloom.sources.writers import checkpointed
 
 
 def label_table(spark: SparkSession, labels: Sequence[str], name: str, ordinal: str = "ord") -> DataFrame:
@@ -50,10 +51,11 @@ def melt(
     )
     # Unpivot takes the dimension name from the column name, so rename in a second, free projection.
     wide = wide.select(
-        *[F.col(name).alias(f"m_{name}") for name in measures],
-        *[F.col(f"d_{name}").alias(name) for name in dimensions],
+        *[F.col(f"`{name}`").alias(f"m_{name}") for name in measures],
+        *[F.col(f"`d_{name}`").alias(name) for name in dimensions],
     )
-    long = wide.unpivot([f"m_{name}" for name in measures], list(dimensions), dimension, value)
+    values = [F.col(f"`{name}`") for name in dimensions]
+    long = wide.unpivot([f"m_{name}" for name in measures], values, dimension, value)
     return long.select(dimension, value, *[F.col(f"m_{name}").alias(name) for name in measures])
 
 
@@ -73,6 +75,7 @@ def reindex(df: DataFrame, column: str, labels: Sequence[str]) -> DataFrame:
 
 
 def share_of_total(df: DataFrame, count: str, name: str, scale: float = 100.0) -> DataFrame:
-    """Add each row's share of the table's total, the total taken as a scalar subquery."""
+    """Add each row's share of the table's total. The summary is stored, since it is read twice."""
+    df = checkpointed(df)
     total = df.agg(F.sum(count)).scalar()
     return df.withColumn(name, F.try_divide(F.col(count) * scale, total))

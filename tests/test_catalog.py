@@ -13,6 +13,7 @@ import __spark_entry__ as entry_points
 from caseloom.catalog import oracle, queries
 from caseloom.operators import cohorts, metrics, ranking
 from caseloom.operators.cleaning import clean_rows
+from caseloom.operators.shape import share_of_total
 from caseloom.sources.encounters import encounters, raw_encounters
 from caseloom.sources.readers import read_table
 from caseloom.sources.writers import write_table
@@ -61,6 +62,14 @@ def test_all_dimensions_come_from_one_scan_and_one_shuffle(spark, stored):
     assert (count(text, "FileScan"), count(text, "Exchange")) == (1, 1)
 
 
+def test_summaries_read_twice_are_stored_once(spark, stored):
+    typed = read_table(spark, f"{stored}/typed")
+    rates = cohorts.group_rates(typed, {"location": typed.location})
+    ratios = cohorts.rate_ratios(rates, {"location": "NATION_0"})
+    for df in (rates, ratios, share_of_total(cohorts.rows_per_year(typed), "row_count", "percent")):
+        assert "FileScan" not in plan(df)
+
+
 def test_scans_are_pruned_and_filters_pushed(spark, stored):
     from caseloom import spec
     from caseloom.operators.filters import keep_valid
