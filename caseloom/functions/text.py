@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from caseloom import spec
 
-# Every character Python's str.strip() removes.
+# Every character Python's str.strip() removes, and those of them that are ASCII.
 WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
+_ASCII_WHITESPACE = "".join(char for char in WHITESPACE if char.isascii())
 
 # Numbers as text: sign, digits grouped by single underscores, point, exponent; or infinity.
 _PAD = "[" + "".join(f"\\x{{{ord(char):x}}}" for char in WHITESPACE) + "]*"
@@ -28,8 +29,12 @@ _FLAGS = {"0": 0, "0.0": 0, "1": 1, "1.0": 1}
 
 
 def strip(c: Column) -> Column:
-    """Trim all white space; Spark's plain trim removes only spaces."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    """Trim all white space; Spark's plain trim removes only spaces.
+
+    Trimming costs a look at every listed character, so text of single bytes gets the short list.
+    """
+    single_bytes = F.octet_length(c) == F.length(c)
+    return F.when(single_bytes, F.btrim(c, F.lit(_ASCII_WHITESPACE))).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
 def lookup(c: Column, mapping: Mapping, default: str | None = None) -> Column:

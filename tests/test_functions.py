@@ -44,6 +44,11 @@ def test_text_cleaning(spark):
     assert values(spark, [" 1 ", "null", None], text.keep_text) == ["1", "", ""]
 
 
+def test_strip_takes_all_white_space(spark):
+    inputs = ["\u00a0 a\u3000", "\x1c\x0b b c\r\n", "é ", "\t", None]
+    assert values(spark, inputs, text.strip) == ["a", "b c", "é", "", None]
+
+
 def test_smoking(spark):
     inputs = ["never", "ever", "Not Current", "No Info", "cigar", " current ", None]
     expected = ["Never", "Former", "Former", "Unknown", "Unknown", "Current", "Unknown"]
