@@ -24,7 +24,8 @@ def mixing_targets(
     `sizes` has one row per source with column `source_size`. Weights repeat over the sources by code
     point, null last. Targets stop at `most` times the source size; what is over goes to the other
     sources by weight until none is above. That fixed point is target = min(cap, weight * level): with
-    sources in order of cap / weight, the level is found at the first source that it does not fill.
+    sources in order of cap / weight, the level that is left for a source and those after it rises as
+    long as sources are filled and falls from then on, so its greatest value is the one.
     The windows run over one row per source, never over documents.
     """
     by_name = Window.orderBy(F.col(source).asc_nulls_last())
@@ -41,8 +42,8 @@ def mixing_targets(
         F.sum("_w").over(everything) - F.coalesce(F.sum("_w").over(before), F.lit(0.0))
     )
     rows = rows.withColumn("_level", level)
-    rows = rows.withColumn("_level", F.min(F.when(F.col("_level") <= F.col("_fill"), F.col("_level"))).over(everything))
-    target = F.when(F.col("_level").isNull(), F.col("_cap")).otherwise(F.least("_cap", F.col("_w") * F.col("_level")))
+    rows = rows.withColumn("_level", F.max("_level").over(everything))
+    target = F.least("_cap", F.col("_w") * F.col("_level"))
     return rows.select(source, "source_size", target.alias("target"))
 
 
@@ -111,7 +112,7 @@ def _bucket(depth: int) -> Column:
 
 def _with_source(salted: DataFrame, per_source: DataFrame) -> DataFrame:
     """Join on source and salt, so that a source with most rows is spread over many tasks."""
-    right = per_source.withColumnRenamed("_source", "_rs").withColumn("_rsalt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    right = per_source.withColumnRenamed("_source", "_rs").withColumn("_rsalt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
     return salted.join(right, F.expr("_source <=> _rs AND _salt = _rsalt")).drop("_rs", "_rsalt")
 
 
