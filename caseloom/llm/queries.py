@@ -7,12 +7,34 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontam import contaminated
+from .html_template import extract_pages
 from .jaccard import jaccard_components
+from .licenses import scan_licenses
 from .mixing import mix_sources
+from .neighbours import nearest
 from .secrets import secret_report
+from .substrings import dedup_report
+from .tokens import token_counts, unigram_scores
 from .toxicity import held_out, score_toxicity, train_toxicity
 
 
+def op1_html_template(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_pages(spark, table(spark, folder, "pages"))
+
+
+def op2_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return nearest(spark, rows, rows.where("vec_id % 100 = 0"))
+
+
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"))
+
+
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"), unigram_scores())
+
+
 def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(spark, table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -25,6 +47,10 @@ def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(spark, table(spark, folder, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup_report(spark, table(spark, folder, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = train_toxicity(docs, table(spark, folder, "labels"))
@@ -42,8 +68,5 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 
 
 def registered() -> dict:
+    """The ten operators over their whole tables, with production parameters."""
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
-
-
-def sql() -> dict[str, str]:
-    return {}
