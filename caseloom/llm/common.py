@@ -57,5 +57,5 @@ def roll(ids: np.ndarray, n: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         out = np.zeros(len(ids) - n + 1, np.uint64)
         for k in range(n):
-            out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + ids[k : len(ids) - n + 1 + k])
-    return out
+            out = (out ^ (out >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + ids[k : len(ids) - n + 1 + k]
+    return mix64(out)
