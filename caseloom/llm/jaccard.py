@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import mix64, roll, store
 
-CELLS = 1 << 20
+CELLS = 1 << 18
 
 
 def words_of(text: str | None) -> list[bytes]:
