@@ -62,7 +62,9 @@ def running_totals(
     parts = parts or shuffle_width(table.sparkSession)
     cuts = cut_points(table, key, parts)
     if cuts:
-        edges = [float("-inf"), *cuts, float("inf")]
+        # Infinite values belong to the outer parts; as cuts they would repeat an edge.
+        infinite = (float("-inf"), float("inf"))
+        edges = [infinite[0], *(c for c in cuts if c not in infinite), infinite[1]]
         cut = Bucketizer(splits=edges, inputCol=key, outputCol="_part").transform(table)
         cut = cut.withColumn("_part", F.col("_part").cast("int"))
     else:
