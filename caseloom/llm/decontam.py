@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_WORD = regex.compile(r"[\p{L}\p{N}]+")
+from .common import roll, store
+
+_WORD = re.compile(r"[^\W_]+")
 ITEM_BYTES = 16 << 20
 
 
@@ -20,34 +22,40 @@ def _words(text: str | None) -> list[str]:
 
 
 class ItemIndex:
-    """Words and n-grams of one block of benchmark items; a block's text is at most ITEM_BYTES."""
+    """Words and n-grams of one block of benchmark items; a block's text is at most ITEM_BYTES.
+
+    N-grams are 64-bit hashes in order; an n-gram's number is its place there.
+    """
 
     def __init__(self, items: list[tuple[int, str]], n: int):
         self.n = n
         self.vocabulary: dict[str, int] = {}
         self.items: list[tuple[int, np.ndarray]] = []
-        self.grams: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for number, (item, text) in enumerate(items):
+        for item, text in items:
             ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in _words(text)], np.int32)
             self.items.append((item, ids))
-            for at in range(len(ids) - n + 1):
-                self.grams[ids[at : at + n].tobytes()].append((number, at))
+        hashes = [roll(ids.astype(np.uint64), n) for _, ids in self.items]
+        self.grams = np.unique(np.concatenate([*hashes, np.zeros(0, np.uint64)]))
+        self.grams_of = [np.searchsorted(self.grams, h).astype(np.int32) for h in hashes]
 
     def encode(self, text: str | None) -> np.ndarray:
-        words = _words(text)
         look = self.vocabulary.get
-        return np.fromiter((look(w, 0) for w in words), np.int32, len(words))
+        return np.array([look(w, 0) for w in _words(text)], np.int32)
 
-    def hits(self, ids: np.ndarray) -> Iterator[tuple[int, bytes]]:
-        """Places of n-grams that some item has. Only runs of known words are looked up."""
+    def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and numbers of n-grams that some item has. Only runs of known words are hashed."""
         n = self.n
-        if len(ids) < n:
-            return
+        none = np.zeros(0, np.int32)
+        if len(ids) < n or not len(self.grams):
+            return none, none
         known = np.concatenate([[0], np.cumsum(ids > 0)])
-        for at in np.flatnonzero(known[n:] - known[:-n] == n):
-            gram = ids[at : at + n].tobytes()
-            if gram in self.grams:
-                yield int(at), gram
+        at = np.flatnonzero(known[n:] - known[:-n] == n)
+        if not len(at):
+            return none, none
+        hashes = roll(ids.astype(np.uint64), n)[at]
+        number = np.minimum(np.searchsorted(self.grams, hashes), len(self.grams) - 1)
+        found = self.grams[number] == hashes
+        return at[found].astype(np.int32), number[found].astype(np.int32)
 
 
 def align(a: np.ndarray, b: np.ndarray, match: int = 2, other: int = -1, gap: int = -1) -> tuple[int, int]:
@@ -107,36 +115,49 @@ def _one_block(spark: SparkSession, given: DataFrame, items: list, n: int, rare:
     index = ItemIndex(items, n)
     shared = spark.sparkContext.broadcast(index)
 
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = shared.value
+        for b in batches:
+            rows = []
+            for k, t in zip(b["k"].astype("Int64"), b["t"]):
+                ids = own.encode(t)
+                at, grams = own.hits(ids)
+                if len(at):
+                    rows.append((k, ids.tobytes(), at.tobytes(), grams.tobytes()))
+            yield pd.DataFrame(rows, columns=["k", "ids", "at", "grams"]).astype({"k": "Int64"})
+
+    # Words become numbers once; only documents with an n-gram of some item go on.
+    coded = store(spark, given.mapInPandas(encode, "k long, ids binary, at binary, grams binary"), "leak-coded")
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: dict[bytes, int] = defaultdict(int)
+        found = np.zeros(len(shared.value.grams), np.int64)
         for b in batches:
-            for t in b["t"]:
-                for gram in {g for _, g in shared.value.hits(shared.value.encode(t))}:
-                    found[gram] += 1
-        yield pd.DataFrame({"gram": list(found), "docs": list(found.values())})
+            for g in b["grams"]:
+                found[np.unique(np.frombuffer(g, np.int32))] += 1
+        some = np.flatnonzero(found)
+        yield pd.DataFrame({"gram": some.astype(np.int32), "docs": found[some]})
 
     # At most as many rows as the block has n-grams.
-    counted = given.mapInPandas(count, "gram binary, docs long").groupBy("gram").agg(F.sum("docs").alias("docs")).toPandas()
-    frequency = dict(zip((bytes(g) for g in counted["gram"]), counted["docs"]))
-    seeds: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-    for number, (_, ids) in enumerate(index.items):
-        grams = [ids[at : at + n].tobytes() for at in range(len(ids) - n + 1)]
-        ranked = sorted(frequency.get(g, 0) for g in grams)
-        if ranked:
+    counted = coded.select("grams").mapInPandas(count, "gram int, docs long").groupBy("gram").agg(F.sum("docs").alias("docs")).toArrow()
+    frequency = np.zeros(len(index.grams), np.int64)
+    frequency[counted["gram"].to_numpy()] = counted["docs"].to_numpy()
+    seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    for number, grams in enumerate(index.grams_of):
+        if len(grams):
+            ranked = np.sort(frequency[grams])
             limit = ranked[min(len(ranked) - 1, int(len(ranked) * rare))]
-            for at, g in enumerate(grams):
-                if frequency.get(g, 0) <= limit:
-                    seeds[g].append((number, at))
+            for at in np.flatnonzero(frequency[grams] <= limit):
+                seeds[int(grams[at])].append((number, int(at)))
     wanted = spark.sparkContext.broadcast(dict(seeds))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, mine = shared.value, wanted.value
         for b in batches:
             rows = []
-            for k, t in zip(b["k"], b["t"]):
-                ids = own.encode(t)
+            for k, coded_ids, places, grams in zip(b["k"].astype("Int64"), b["ids"], b["at"], b["grams"]):
+                ids = np.frombuffer(coded_ids, np.int32)
                 windows: dict[int, list[list[int]]] = defaultdict(list)
-                for at, gram in own.hits(ids):
+                for at, gram in zip(np.frombuffer(places, np.int32).tolist(), np.frombuffer(grams, np.int32).tolist()):
                     for number, place in mine.get(gram, ()):
                         size = len(own.items[number][1])
                         slack = size // 2 + n
@@ -154,4 +175,4 @@ def _one_block(spark: SparkSession, given: DataFrame, items: list, n: int, rare:
                         rows.append((k, item, score, best[2], best[2] + best[1]))
             yield pd.DataFrame(rows, columns=["k", "i", "score", "start_word", "end_word"]).astype({"k": "Int64", "i": "Int64"})
 
-    return given.mapInPandas(search, "k long, i long, score double, start_word long, end_word long")
+    return coded.mapInPandas(search, "k long, i long, score double, start_word long, end_word long")
