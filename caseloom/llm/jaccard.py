@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import mix64, roll, store
@@ -33,9 +33,8 @@ class _Hashes(dict):
 _HASHES = _Hashes()
 
 
-def shingle_set(text: str | None, n: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of word n-grams; a shorter text is one shingle, an empty one none."""
-    words = words_of(text)
+def shingles(words: list[bytes], n: int = 5) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of word n-grams; fewer words are one shingle, none none."""
     if not words:
         return np.zeros(0, np.uint64)
     ids = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
@@ -44,6 +43,10 @@ def shingle_set(text: str | None, n: int = 5) -> np.ndarray:
     return np.unique(roll(ids, n))
 
 
+def shingle_set(text: str | None, n: int = 5) -> np.ndarray:
+    return shingles(words_of(text), n)
+
+
 def least_overlap(n: int, percent: int) -> int:
     """Fewest common elements of a set of n with any set at this similarity."""
     return -(-n * percent // 100)
@@ -61,7 +64,7 @@ def jaccard_components(
     """Per document: key, n_shingles, component_id (smallest key reachable by links, itself included).
 
     1. Texts with the same word sequence become one class.
-    2. Shingles are ordered by the count in a sketch of fixed size, rare first. Two sets that link share
+    2. Shingles are ordered by the count in a sketch of fixed size over all documents, rare first. Two sets that link share
        one of each other's first n - ceil(0.75 n) + 1 shingles (the prefix), whatever the order.
     3. In the posting list of a prefix shingle the smallest class is its hub; each class is compared with
        its hubs, which joins copies by stars, not by pairs.
@@ -76,50 +79,63 @@ def jaccard_components(
     """
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sketch = np.zeros(CELLS, np.int64)
         for b in batches:
             cls, sizes = [], []
             for t in b["t"]:
-                joined = b" ".join(words_of(t))
-                cls.append(xxhash.xxh3_128_digest(joined) if joined else None)
-                sizes.append(len(shingle_set(t, n)))
-            yield pd.DataFrame({"k": b["k"].astype("Int64"), "digest": cls, "n": sizes})
-
+                words = words_of(t)
+                own = shingles(words, n)
+                cls.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
+                sizes.append(len(own))
+                sketch[np.unique((own % np.uint64(CELLS)).astype(np.int64))] += 1
+            yield pd.DataFrame({"k": b["k"].astype("Int64"), "digest": cls, "n": sizes, "cell": None, "count": None}, dtype=object)
+        at = np.flatnonzero(sketch)
+        yield pd.DataFrame({"k": None, "digest": None, "n": None, "cell": at, "count": sketch[at]}, dtype=object)
+
+    # One pass over the texts gives a row per document and, at a task's end, the counts of its sketch.
     given = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
-    rows = store(spark, given.mapInPandas(measure, "k long, digest binary, n long"), "jac-rows")
+    measured = store(spark, given.mapInPandas(measure, "k long, digest binary, n long, cell int, count long"), "jac-rows")
+    rows = measured.where("cell IS NULL").select("k", "digest", "n")
     classes = rows.where("digest IS NOT NULL AND k IS NOT NULL").groupBy("digest").agg(F.min("k").alias("c"))
     classes = store(spark, classes, "jac-classes")
     # One text per class; a repeated key with several texts keeps each of them, told apart by digest.
     keyed = given.where("k IS NOT NULL").join(classes.select(F.col("c").alias("k")).distinct(), "k", "left_semi")
-
-    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(CELLS, np.int64)
-        for b in batches:
-            for t in b["t"]:
-                np.add.at(counts, (shingle_set(t, n) % np.uint64(CELLS)).astype(np.int64), 1)
-        at = np.flatnonzero(counts)
-        yield pd.DataFrame({"cell": at.astype(np.int32), "count": counts[at]})
-
-    cells = keyed.mapInPandas(sketch, "cell int, count long").groupBy("cell").agg(F.sum("count").alias("count")).toPandas()
+    # At most CELLS rows, packed.
+    cells = measured.where("cell IS NOT NULL").groupBy("cell").agg(F.sum("count").alias("count")).toArrow()
     counts = np.zeros(CELLS, np.int64)
-    counts[cells["cell"].to_numpy(np.int64)] = cells["count"].to_numpy(np.int64)
+    counts[cells["cell"].to_numpy()] = cells["count"].to_numpy()
     shared = spark.sparkContext.broadcast(counts)
 
     def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            keys, sizes, heads = [], [], []
             for k, t in zip(b["k"], b["t"]):
                 s = shingle_set(t, n)
-                if not len(s):
-                    continue
-                order = np.lexsort((mix64(s), shared.value[(s % np.uint64(CELLS)).astype(np.int64)]))
-                head = s[order[: len(s) - least_overlap(len(s), percent) + 1]]
-                yield pd.DataFrame({"token": head.astype(np.int64), "c": np.int64(k), "n": np.int32(len(s))})
-
-    posts = keyed.mapInPandas(prefixes, "token long, c long, n int")
+                if len(s):
+                    keys.append(k)
+                    sizes.append(len(s))
+                    heads.append(prefix(s, shared.value, percent))
+            if heads:
+                lengths = [len(h) for h in heads]
+                yield pd.DataFrame(
+                    {
+                        "token": np.concatenate(heads).astype(np.int64),
+                        "c": np.repeat(np.array(keys, np.int64), lengths),
+                        "n": np.repeat(np.array(sizes, np.int32), lengths),
+                    }
+                )
+
+    posts = store(spark, keyed.mapInPandas(prefixes, "token long, c long, n int"), "jac-prefixes")
     # Only shingles in two lists or more can join anything.
-    hubs = posts.groupBy("token").agg(F.min("c").alias("hub"), F.max("c").alias("last")).where("hub < last")
-    hubs = store(spark, hubs.select("token", "hub"), "jac-hubs")
+    first = F.min(F.struct("c", "n"))
+    hubs = posts.groupBy("token").agg(first.alias("first"), F.max("c").alias("last")).where("first.c < last")
+    hubs = store(spark, hubs.select("token", F.col("first.c").alias("hub"), F.col("first.n").alias("hub_n")), "jac-hubs")
     posts = store(spark, _meet(posts, hubs), "jac-posts")
-    stars = posts.where("c <> hub").select(F.col("hub").alias("a"), F.col("c").alias("b")).distinct()
+    # What a star leaves out here is found between components.
+    fits = F.expr(f"least(n, hub_n) * 100L >= greatest(n, hub_n) * {percent}L")
+    stars = posts.where(F.col("c") != F.col("hub")).where(fits).groupBy("hub", "c").agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("n"), F.first("hub_n").alias("hub_n"))
+    stars = stars.where(F.col("common") >= _shared_least(F.col("n"), F.col("hub_n"), percent)).select(F.col("hub").alias("a"), F.col("c").alias("b"))
+    posts = posts.select("token", "c", "n")
     linked = store(spark, _verify(spark, keyed, stars, n, percent), "jac-stars")
     comps = components(spark, linked)
     grouped = store(spark, _groups(posts, linked, comps, chunk), "jac-groups")
@@ -136,22 +152,50 @@ def jaccard_components(
     )
 
 
+def prefix(s: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The first shingles of a sorted set, rare cells first, then by hash; equal places fall back on the value."""
+    cell = np.minimum(counts[(s % np.uint64(CELLS)).astype(np.int64)], (1 << 24) - 1).astype(np.uint64)
+    place = (cell << np.uint64(40)) | (mix64(s) >> np.uint64(24))
+    return s[np.argsort(place, kind="stable")[: len(s) - least_overlap(len(s), percent) + 1]]
+
+
+def _shared_least(x: Column, y: Column, percent: int) -> Column:
+    """Fewest common prefix shingles that sets of sizes x and y need to link.
+
+    Up to the end of the prefix that ends first, all common shingles are in both prefixes; after it that
+    set has ceil(percent x) - 1 left, and a link needs percent / (100 + percent) of x + y in common.
+    """
+    need = F.ceil((x + y) * percent / (100 + percent) - 1e-9)
+    return need - F.ceil(F.greatest(x, y) * percent / 100) + 1
+
+
 def _meet(posts: DataFrame, hubs: DataFrame) -> DataFrame:
-    return posts.join(hubs, "token").select("token", "c", "n", "hub")
+    return posts.join(hubs, "token").select("token", "c", "n", "hub", "hub_n")
 
 
-def _verify(spark: SparkSession, keyed: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets link. Each set is read for documents of some pair only."""
+def _sets(keyed: DataFrame, wanted: DataFrame, n: int, carry: str) -> DataFrame:
+    """c, s (its shingles) and the columns of `wanted` for each class k there. `carry` is their schema."""
+    names = [c.split()[0] for c in carry.split(", ")] if carry else []
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"c": b["k"], "s": [shingle_set(t, n).astype(np.int64) for t in b["t"]]})
+            rows = {"c": b["k"], "s": [shingle_set(t, n).astype(np.int64) for t in b["t"]]}
+            yield pd.DataFrame(rows | {name: b[name] for name in names})
 
+    return keyed.join(wanted, "k").mapInPandas(sets, "c long, s array<long>" + (", " + carry if carry else ""))
+
+
+def _verify(spark: SparkSession, keyed: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets link. Only texts of some pair are read; b's set goes to each of its a's.
+
+    What is wanted is written first, so that Spark knows its size when it chooses the join.
+    """
     pairs = store(spark, pairs, "jac-pairs")
-    ids = pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct()
-    known = store(spark, keyed.join(ids, "k", "left_semi").mapInPandas(sets, "c long, s array<long>"), "jac-sets")
-    left = pairs.join(known.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a")
-    both = left.join(known.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b")
+    of_b = store(spark, pairs.groupBy(F.col("b").alias("k")).agg(F.collect_list("a").alias("hubs")), "jac-ask-b")
+    of_a = store(spark, pairs.select(F.col("a").alias("k")).distinct(), "jac-ask-a")
+    right = _sets(keyed, of_b, n, "hubs array<long>").select(F.explode("hubs").alias("a"), F.col("c").alias("b"), F.col("s").alias("sb"))
+    left = _sets(keyed, of_a, n, "").select(F.col("c").alias("a"), F.col("s").alias("sa"))
+    both = right.join(left, "a")
     common = F.size(F.array_intersect("sa", "sb")).cast("long")
     size = (F.size("sa") + F.size("sb")).cast("long")
     longer, shorter = F.greatest(F.size("sa"), F.size("sb")), F.least(F.size("sa"), F.size("sb"))
@@ -181,19 +225,18 @@ def _cross(spark: SparkSession, keyed: DataFrame, posts: DataFrame, grouped: Dat
     asks = (
         tagged.alias("q")
         .join(by_group.alias("g"), F.expr("q.token = g.token AND q.comp > g.comp"))
-        .where(F.expr(f"q.n * 100 >= g.n_lo * {percent} AND g.n_hi * 100 >= q.n * {percent}"))
-        .select(F.col("q.c").alias("c"), F.col("g.grp").alias("grp"))
-        .distinct()
+        .where(F.expr(f"q.n * 100L >= g.n_lo * {percent}L AND g.n_hi * 100L >= q.n * {percent}L"))
+        .groupBy("q.c", "q.n", "g.grp")
+        .agg(F.count(F.lit(1)).alias("common"), F.min("g.n_lo").alias("n_lo"), F.max("g.n_hi").alias("n_hi"))
     )
-    asks = store(spark, asks, "jac-asks")
-
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"c": b["k"], "s": [shingle_set(t, n).astype(np.int64) for t in b["t"]]})
-
+    # Among the sizes of a group, the least is needed at one of the ends that can link at all; rounding adds 1 at most.
+    low = F.greatest(F.col("n_lo"), F.ceil(F.col("n") * percent / 100))
+    high = F.least(F.col("n_hi"), F.floor(F.col("n") * 100 / percent))
+    least = F.least(_shared_least(F.col("n"), low, percent), _shared_least(F.col("n"), high, percent))
+    asks = store(spark, asks.where(F.col("common") >= least - 1).select("c", "grp").distinct(), "jac-asks")
     members = grouped.join(asks.select("grp").distinct(), "grp", "left_semi").select("c", "grp")
     ids = members.select(F.col("c").alias("k")).union(asks.select(F.col("c").alias("k"))).distinct()
-    known = store(spark, keyed.join(ids, "k", "left_semi").mapInPandas(sets, "c long, s array<long>"), "jac-sets")
+    known = store(spark, _sets(keyed, store(spark, ids, "jac-ids"), n, ""), "jac-sets")
     unions = members.join(known, "c").groupBy("grp").agg(F.array_distinct(F.flatten(F.collect_list("s"))).alias("u"))
     opened = (
         asks.join(known, "c")
