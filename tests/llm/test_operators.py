@@ -47,6 +47,27 @@ def test_jaccard_matches_brute_force(spark):
     assert got == {i: (len(s), group[i]) for i, s in enumerate(sets)}
 
 
+def test_jaccard_loses_no_link_at_the_bound(spark):
+    """Sets of many sizes around the threshold, cut and edited, in groups that stars do not cover."""
+    rng = np.random.default_rng(8)
+    texts = []
+    for family in range(6):
+        base = [f"f{family}w{i}" for i in range(int(rng.integers(20, 90)))]
+        for _ in range(14):
+            words = base[: int(len(base) * rng.uniform(0.7, 1))]
+            for at in rng.choice(len(words), int(rng.integers(0, 3)), replace=False):
+                words[at] = f"x{rng.integers(10)}"
+            texts.append(" ".join(words))
+    sets = [shingles(t) for t in texts]
+    group = list(range(len(texts)))
+    links = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if 100 * len(a & b) >= 75 * len(a | b)]
+    for _ in texts:
+        for i, j in links:
+            group[i] = group[j] = min(group[i], group[j])
+    got = {r.doc_id: r.component_id for r in jaccard_components(spark, docs(spark, texts), chunk=4).collect()}
+    assert got == dict(enumerate(group))
+
+
 def test_mix_meets_capped_targets(spark):
     rows = mix_sources(spark, docs(spark, [None, ""] + ["a b c"] * 300)).collect()
     assert len(rows) == 302 and all(r.taken <= 2 * r.size for r in rows)
