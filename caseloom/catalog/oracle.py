@@ -434,7 +434,7 @@ def sql() -> dict[str, str]:
         "bmi_bucket_summary": f"""{_T} SELECT bucket, n AS count, round(r, 4) AS avg_ratio, round(d, 4) AS diabetes_rate,
             CASE WHEN d > 0.20 THEN 'HI' WHEN d >= 0.08 THEN 'MID' ELSE 'LO' END AS tier FROM (
               SELECT {_bands("bmi", *_BMI_COHORT)} AS bucket, count(*) AS n,
-                     avg(blood_glucose_level / "hbA1c_level") AS r, sum(coalesce(diabetes, 0)) / count(*)::DOUBLE AS d
+                     avg(blood_glucose_level / "hbA1c_level") AS r, count(*) FILTER (WHERE diabetes = 1) / count(*)::DOUBLE AS d
               FROM loose WHERE "hbA1c_level" <> 0 GROUP BY 1)""",
         "yearly_summary": f"""{_T} SELECT year, count(*) AS count,
             round(count(*) FILTER (WHERE diabetes = 1) / count(*)::DOUBLE, 4) AS diabetes_rate,

@@ -51,15 +51,15 @@ def value_frequencies(df: DataFrame, columns: Sequence[str] = tuple(spec.FREQUEN
 def bmi_bucket_summary(df: DataFrame, label: str = spec.LABEL) -> DataFrame:
     """Per BMI band: rows, mean glucose/HbA1c ratio, positive rate and its tier; highest rate first.
 
-    Rows with zero HbA1c are left out. The tier is taken from the unrounded rate.
+    Rows with zero HbA1c are left out. A label other than 1 is no positive, as in the other summaries. The tier is taken from the unrounded rate.
     """
     rows = df.where(F.col("hbA1c_level") != 0).select(
         bucketize(F.col("bmi"), spec.BMI_COHORT).alias("bucket"),
         F.try_divide("blood_glucose_level", "hbA1c_level").alias("ratio"),
-        F.coalesce(F.col(label), F.lit(0)).alias("y"),
+        (F.col(label) == 1).alias("y"),
     )
     stats = rows.groupBy("bucket").agg(
-        F.count("*").alias("count"), F.avg("ratio").alias("ratio"), (F.sum("y") / F.count("*")).alias("rate")
+        F.count("*").alias("count"), F.avg("ratio").alias("ratio"), (F.count_if("y") / F.count("*")).alias("rate")
     )
     return stats.select(
         "bucket",

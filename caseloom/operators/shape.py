@@ -71,7 +71,7 @@ def reindex(df: DataFrame, column: str, labels: Sequence[str]) -> DataFrame:
     """
     fixed = label_table(df.sparkSession, labels, column)
     known = df.where(F.col(column).isin(*labels))
-    return fixed.join(F.broadcast(known), column, "left").select("ord", *df.columns)
+    return fixed.join(known, column, "left").select("ord", *df.columns)
 
 
 def share_of_total(df: DataFrame, count: str, name: str, scale: float = 100.0) -> DataFrame:
