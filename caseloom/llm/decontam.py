@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment of words."""
+"""Benchmark decontamination: n-gram seeds, then local alignment of words."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import roll, store
+from .common import roll
 
 _WORD = re.compile(r"[^\W_]+")
 ITEM_BYTES = 16 << 20
@@ -36,7 +36,11 @@ class ItemIndex:
             self.items.append((item, ids))
         hashes = [roll(ids.astype(np.uint64), n) for _, ids in self.items]
         self.grams = np.unique(np.concatenate([*hashes, np.zeros(0, np.uint64)]))
-        self.grams_of = [np.searchsorted(self.grams, h).astype(np.int32) for h in hashes]
+        # Where each n-gram stands: (place in self.items, first word).
+        self.places: list[list[tuple[int, int]]] = [[] for _ in self.grams]
+        for number, h in enumerate(hashes):
+            for place, gram in enumerate(np.searchsorted(self.grams, h).tolist()):
+                self.places[gram].append((number, place))
 
     def encode(self, text: str | None) -> np.ndarray:
         look = self.vocabulary.get
@@ -85,16 +89,17 @@ def contaminated(
     item_key: str = "item_id",
     item_text: str = "text",
     n: int = 3,
-    rare: float = 0.5,
     least: float = 0.5,
     block_bytes: int = ITEM_BYTES,
 ) -> DataFrame:
     """One row per document and item that it holds a copy of: key, item_id, score, start_word, end_word.
 
-    Seeds of an item are its n-grams up to the `rare` quantile of its n-grams' document frequencies, ties included
-    (counted over all documents). Each seed found in a document opens a window of the item's length and
-    half of it more on both sides; windows that overlap are joined. The score is the best local
-    alignment over its maximum, 2 per item word; `least` is needed. Items of fewer than `n` words have no seeds and match nothing.
+    Every n-gram of an item is a seed, however often documents hold it. Each seed found in a document opens a
+    window of the item's length and, on both sides, of as many words as an alignment of score `least` can
+    insert; windows that overlap are joined. The score is the best local alignment over its maximum, 2 per
+    item word; `least` is needed. Windows that `ceiling` shows to stay under it are not aligned.
+    A copy that shares no `n` consecutive words with the item (every n-th word changed, or closer) has no seed
+    and is not found, whatever its score; nor are items of fewer than `n` words.
 
     Null texts are empty. Null keys are reported as such. Items go in blocks of `block_bytes` of text, so
     what is broadcast has a fixed bound however large the benchmark is. Repeated items give a row each.
@@ -106,73 +111,62 @@ def contaminated(
     out = None
     for block in range(blocks):
         part = spark_items if blocks == 1 else spark_items.where(F.pmod(F.xxhash64("t", "i"), F.lit(blocks)) == block)
-        rows = _one_block(spark, given, [(r["i"], r["t"]) for r in part.collect()], n, rare, least)
+        rows = _one_block(spark, given, [(r["i"], r["t"]) for r in part.collect()], n, least)
         out = rows if out is None else out.unionByName(rows)
     return out.select(F.col("k").alias(key), F.col("i").alias(item_key), "score", "start_word", "end_word")
 
 
-def _one_block(spark: SparkSession, given: DataFrame, items: list, n: int, rare: float, least: float) -> DataFrame:
-    index = ItemIndex(items, n)
-    shared = spark.sparkContext.broadcast(index)
+def ceiling(matches: int, hits: int, n: int) -> float:
+    """No alignment of at most `matches` matched words and `hits` matched n-grams scores more.
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = shared.value
-        for b in batches:
-            rows = []
-            for k, t in zip(b["k"].astype("Int64"), b["t"]):
-                ids = own.encode(t)
-                at, grams = own.hits(ids)
-                if len(at):
-                    rows.append((k, ids.tobytes(), at.tobytes(), grams.tobytes()))
-            yield pd.DataFrame(rows, columns=["k", "ids", "at", "grams"]).astype({"k": "Int64"})
+    r runs of matched words have at least r - 1 errors between them and matches - (n - 1) r n-grams.
+    """
+    most = 2.0 * matches
+    return min(most, most - (matches - hits) / (n - 1) + 1) if n > 1 else most
 
-    # Words become numbers once; only documents with an n-gram of some item go on.
-    coded = store(spark, given.mapInPandas(encode, "k long, ids binary, at binary, grams binary"), "leak-coded")
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = np.zeros(len(shared.value.grams), np.int64)
-        for b in batches:
-            for g in b["grams"]:
-                found[np.unique(np.frombuffer(g, np.int32))] += 1
-        some = np.flatnonzero(found)
-        yield pd.DataFrame({"gram": some.astype(np.int32), "docs": found[some]})
-
-    # At most as many rows as the block has n-grams.
-    counted = coded.select("grams").mapInPandas(count, "gram int, docs long").groupBy("gram").agg(F.sum("docs").alias("docs")).toArrow()
-    frequency = np.zeros(len(index.grams), np.int64)
-    frequency[counted["gram"].to_numpy()] = counted["docs"].to_numpy()
-    seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for number, grams in enumerate(index.grams_of):
-        if len(grams):
-            ranked = np.sort(frequency[grams])
-            limit = ranked[min(len(ranked) - 1, int(len(ranked) * rare))]
-            for at in np.flatnonzero(frequency[grams] <= limit):
-                seeds[int(grams[at])].append((number, int(at)))
-    wanted = spark.sparkContext.broadcast(dict(seeds))
+def _one_block(spark: SparkSession, given: DataFrame, items: list, n: int, least: float) -> DataFrame:
+    shared = spark.sparkContext.broadcast(ItemIndex(items, n))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, mine = shared.value, wanted.value
+        own = shared.value
         for b in batches:
             rows = []
-            for k, coded_ids, places, grams in zip(b["k"].astype("Int64"), b["ids"], b["at"], b["grams"]):
-                ids = np.frombuffer(coded_ids, np.int32)
-                windows: dict[int, list[list[int]]] = defaultdict(list)
-                for at, gram in zip(np.frombuffer(places, np.int32).tolist(), np.frombuffer(grams, np.int32).tolist()):
-                    for number, place in mine.get(gram, ()):
-                        size = len(own.items[number][1])
-                        slack = size // 2 + n
-                        lo, hi = max(0, at - place - slack), min(len(ids), at - place + size + slack)
-                        known = windows[number]
-                        if known and lo <= known[-1][1] and known[-1][0] <= hi:
-                            known[-1] = [min(lo, known[-1][0]), max(hi, known[-1][1])]
-                        else:
-                            known.append([lo, hi])
-                for number, spans in windows.items():
+            for k, t in zip(b["k"].astype("Int64"), b["t"]):
+                ids = own.encode(t)
+                for number, spans in _windows(own, ids, least).items():
                     item, words = own.items[number]
-                    best = max(((*align(ids[lo:hi], words), lo, hi) for lo, hi in spans), key=lambda r: (r[0], -r[2]))
+                    need = least * 2 * len(words)
+                    best = (0, 0, 0)
+                    for lo, hi, hits in spans:
+                        part = ids[lo:hi]
+                        matches = min(int(np.isin(part, words).sum()), int(np.isin(words, part).sum()))
+                        if ceiling(matches, hits, n) >= need:
+                            best = max(best, (*align(part, words), lo), key=lambda r: (r[0], -r[2]))
                     score = best[0] / (2 * len(words))
-                    if score >= least:
+                    if best[0] and score >= least:
                         rows.append((k, item, score, best[2], best[2] + best[1]))
             yield pd.DataFrame(rows, columns=["k", "i", "score", "start_word", "end_word"]).astype({"k": "Int64", "i": "Int64"})
 
-    return coded.mapInPandas(search, "k long, i long, score double, start_word long, end_word long")
+    return given.mapInPandas(search, "k long, i long, score double, start_word long, end_word long")
+
+
+def _windows(index: ItemIndex, ids: np.ndarray, least: float) -> dict[int, list[list[int]]]:
+    """Per item number: windows [first word, end, places with a seed], by first word, apart from each other."""
+    opened: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+    for at, gram in zip(*(x.tolist() for x in index.hits(ids))):
+        for number, place in index.places[gram]:
+            size = len(index.items[number][1])
+            slack = int(2 * size * (1 - least))
+            opened[number].append((max(0, at - place - slack), min(len(ids), at - place + size + slack), at))
+    out = {}
+    for number, spans in opened.items():
+        joined: list[list] = []
+        for lo, hi, at in sorted(spans):
+            if joined and lo <= joined[-1][1]:
+                joined[-1][1] = max(hi, joined[-1][1])
+                joined[-1][2].add(at)
+            else:
+                joined.append([lo, hi, {at}])
+        out[number] = [[lo, hi, len(places)] for lo, hi, places in joined]
+    return out

@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pytest
 
 from caseloom.llm import html_template, tokens
-from caseloom.llm.decontam import contaminated
+from caseloom.llm.decontam import align, ceiling, contaminated
 from caseloom.llm.jaccard import jaccard_components
 from caseloom.llm.licenses import TokenAutomaton, scan_licenses
 from caseloom.llm.mixing import mix_sources
@@ -108,6 +109,36 @@ def test_contamination_by_copy_and_edit(spark):
     assert sorted((r.doc_id, r.item_id) for r in found) == [(3, 5), (4, 5)]
 
 
+@pytest.mark.parametrize("step", [4, 5, 6])
+@pytest.mark.parametrize("copies", [0, 1, 4])
+def test_contamination_by_regular_edits(spark, step, copies):
+    """Every 4th to 6th word changed, with and without exact copies beside it."""
+    item = [f"word{i}x" for i in range(40)]
+    edited = " ".join("other" if i % step == step - 1 else w for i, w in enumerate(item))
+    items = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    texts = [f"a b {t} c" for t in [edited] + [" ".join(item)] * copies] + ["word1x word2x word3x alone", None]
+    found = contaminated(spark, docs(spark, texts), items).collect()
+    assert sorted(r.doc_id for r in found) == list(range(1 + copies))
+    assert all((r.score == 1) == (r.doc_id > 0) for r in found)
+
+
+def test_contamination_in_a_common_excerpt(spark):
+    """The n-grams of half of the item stand in most documents; texts with that half are found."""
+    item = [f"word{i}x" for i in range(40)]
+    items = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    found = contaminated(spark, docs(spark, [" ".join(item[:20])] * 9 + [" ".join(item[:12])] * 9 + [" ".join(item)]), items)
+    assert sorted(r.doc_id for r in found.collect()) == [*range(9), 18]
+
+
+def test_contamination_ceiling_holds():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        a, b = rng.integers(1, 5, 30), rng.integers(1, 5, 8)
+        grams = {tuple(b[i : i + 3]) for i in range(6)}
+        hits = sum(tuple(a[i : i + 3]) in grams for i in range(28))
+        assert align(a, b)[0] <= ceiling(min(np.isin(a, b).sum(), np.isin(b, a).sum()), hits, 3)
+
+
 def test_first_line_stays(spark):
     line = "this line stands in many texts"
     found = repeated_units(spark, docs(spark, [None, line, f"own words here\n{line.upper()}", f"{line}\n{line}"])).collect()
