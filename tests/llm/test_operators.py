@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from caseloom.llm import html_template, tokens
 from caseloom.llm.decontam import align, ceiling, contaminated
 from caseloom.llm.jaccard import jaccard_components
@@ -198,3 +199,17 @@ def test_main_text(spark):
     rows = spark.createDataFrame([(1, "http://h/1", page), (2, None, None), (3, "http://h/2", "")], "page_id long, url string, html string")
     got = {r.page_id: (r.text, r.n_chars) for r in html_template.extract_pages(spark, rows).collect()}
     assert got == {1: ("A&B c d e", 9), 2: ("", 0), 3: ("", 0)}
+
+
+def test_stages_count_rows_not_ids(spark, tmp_path):
+    """Null and repeated ids: one row of each component stays, and only the rows with an item go."""
+    item = " ".join(f"word{i}x" for i in range(20))
+    spark.createDataFrame([(5, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    same, other = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(1, same)] * 3 + [(None, same)] * 2 + [(None, other)] * 2 + [(2, "own words here"), (2, "quite another text"), (3, None), (None, "")]
+    given = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, given, str(tmp_path)).collect()
+    assert sorted(map(str, kept)) == sorted(map(str, [given.collect()[i] for i in (0, 5, 7, 8, 9, 10)]))
+    rows = [(None, item), (1, item), (1, "clean"), (None, "clean too"), (2, None)]
+    kept = corpus_pipeline.drop_contaminated(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()
+    assert sorted(str(r.text) for r in kept) == ["None", "clean", "clean too"]
