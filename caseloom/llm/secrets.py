@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -18,6 +19,10 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 KINDS = ("assign", "access", "hex")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
+# A part of a run begins after one of these and ends before one, or at an end of the run or of a base span.
+_CUTS = frozenset("=/.")
+LONGEST = 4096  # symbols of an example that are learned; of a longer one the beginning, without an end
+SYMBOLS = 250_000  # symbols of all examples together, which bounds the tree at the driver
 _CLASSES = {**{c: "d" for c in "0123456789"}, **{c: "x" for c in "abcdef"}, **{chr(c): "l" for c in range(ord("g"), ord("z") + 1)}}
 _CLASSES |= {chr(c): "U" for c in range(65, 91)}
 
@@ -65,7 +70,7 @@ class FormatAutomaton:
         self.stop: list[int] = [0]
         for value in examples:
             at = 0
-            for symbol in _symbols(value)[:128]:
+            for symbol in _symbols(value[:LONGEST]):
                 self.count[at][symbol] = self.count[at].get(symbol, 0) + 1
                 if symbol not in self.next[at]:
                     self.next[at][symbol] = len(self.next)
@@ -73,7 +78,7 @@ class FormatAutomaton:
                     self.count.append({})
                     self.stop.append(0)
                 at = self.next[at][symbol]
-            self.stop[at] += 1
+            self.stop[at] += len(value) <= LONGEST
         self._bound = math.sqrt(0.5 * math.log(2 / alpha))
         self._merge_all()
 
@@ -143,16 +148,50 @@ class FormatAutomaton:
         return (total + math.log(self.stop[at] / self._total(at))) / (len(symbols) + 1)
 
 
+    def parts(self, run: str, least: float, cuts: frozenset[int] = frozenset()) -> list[tuple[int, int]]:
+        """Parts of a run between cuts, the whole included, that have 12 characters, a digit, a letter and the likelihood.
+
+        The mean reaches `least` where the sum of log-probability - least does not fall under 0, and what
+        follows depends on the state alone: per state, length up to 12 and kinds seen, only the most likely
+        part goes on. Of the parts with one end the most likely is given.
+        """
+        live: dict[tuple[int, int, bool, bool], tuple[float, int]] = {}
+        found = []
+        for at, c in enumerate(run):
+            if at == 0 or run[at - 1] in _CUTS or at in cuts:
+                live[0, 0, False, False] = (0.0, at)
+            symbol, digit, letter = _CLASSES.get(c, c), c.isdigit(), c.isalpha()
+            new: dict[tuple[int, int, bool, bool], tuple[float, int]] = {}
+            for (q, n, d, a), (excess, start) in live.items():
+                if symbol in self.next[q]:
+                    key = (self.next[q][symbol], min(n + 1, 12), d or digit, a or letter)
+                    value = (excess + math.log(self.count[q][symbol] / self._total(q)) - least, start)
+                    if key not in new or new[key] < value:
+                        new[key] = value
+            live = new
+            if live and (at + 1 == len(run) or run[at + 1] in _CUTS or at + 1 in cuts):
+                ends = [
+                    (excess + math.log(self.stop[q] / self._total(q)) - least, start)
+                    for (q, n, d, a), (excess, start) in live.items()
+                    if n == 12 and d and a and self.stop[q]
+                ]
+                # Sums in another order may round apart from the mean.
+                if ends and max(ends)[0] >= -1e-9:
+                    found.append((max(ends)[1], at + 1))
+        return found
+
+
 def infer_formats(docs: DataFrame, text: str = "text", examples: int = 3000) -> tuple[FormatAutomaton, float]:
     """Infer the automaton from at most `examples` distinct labelled credentials, smallest hash first.
 
+    Of values over LONGEST symbols the beginning is learned. Values enter up to SYMBOLS symbols in all.
     Returns it with the likelihood that 99% of the examples reach. No credentials: an automaton that
     accepts nothing.
     """
 
     def values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"value": [v for t in batch["t"] for v in set(credential_values(t or "")) if len(v) <= 128]}, dtype=object)
+            yield pd.DataFrame({"value": [v for t in batch["t"] for v in {v[: LONGEST + 1] for v in credential_values(t or "")}]}, dtype=object)
 
     rows = (
         docs.select(F.col(text).alias("t"))
@@ -162,9 +201,10 @@ def infer_formats(docs: DataFrame, text: str = "text", examples: int = 3000) ->
         .limit(examples)
         .collect()
     )
-    learned = [r["value"] for r in rows]
+    total = itertools.accumulate(len(r["value"]) for r in rows)
+    learned = [r["value"] for r, n in zip(rows, total) if n <= SYMBOLS]
     automaton = FormatAutomaton(learned)
-    scores = sorted(automaton.likelihood(v) for v in learned)
+    scores = sorted(automaton.likelihood(v) for v in learned if len(v) <= LONGEST)
     return automaton, (scores[len(scores) // 100] if scores else math.inf)
 
 
@@ -173,9 +213,10 @@ def scan_secrets(
 ) -> DataFrame:
     """Add `base`, `inferred` (arrays of start, end, kind) and, if asked for, text with each secret replaced.
 
-    A candidate is a run of 12 or more credential characters with a digit and a letter, outside every
-    base span, at least as likely as `least` under the automaton: kind `inferred`. Null text is empty
-    and stays null when redacted. Offsets are code points.
+    A candidate is a run of 12 or more credential characters, and each part of it between '=', '/', '.' and the
+    ends of base spans, with 12 characters, a digit and a letter, not inside a base span, at least as
+    likely as `least` under the automaton: kind `inferred`. Parts that overlap are one span. Null text is
+    empty and stays null when redacted. Offsets are code points.
     """
     spans = "array<struct<start:int,stop:int,kind:string>>"
     result = f"struct<base:{spans},inferred:{spans},redacted:string>"
@@ -191,10 +232,15 @@ def scan_secrets(
                 v = m.group()
                 if not any(c.isdigit() for c in v) or not any(c.isalpha() for c in v):
                     continue
-                if any(s < m.end() and m.start() < e for s, e, _ in base):
-                    continue
-                if automaton.likelihood(v) >= least:
-                    more.append((m.start(), m.end(), "inferred"))
+                first = m.start()
+                near = [(s - first, e - first) for s, e, _ in base if s < m.end() and first < e]
+                joined: list[list[int]] = []
+                for s, e in sorted(p for p in automaton.parts(v, least, frozenset(x for n in near for x in n)) if not any(n[0] <= p[0] and p[1] <= n[1] for n in near)):
+                    if joined and s < joined[-1][1]:
+                        joined[-1][1] = max(e, joined[-1][1])
+                    else:
+                        joined.append([s, e])
+                more += [(first + s, first + e, "inferred") for s, e in joined]
             hidden = given
             if redact is not None and (base or more):
                 parts, at = [], 0

@@ -14,7 +14,7 @@ from caseloom.llm.jaccard import jaccard_components
 from caseloom.llm.licenses import TokenAutomaton, scan_licenses
 from caseloom.llm.mixing import mix_sources
 from caseloom.llm.neighbours import nearest
-from caseloom.llm.secrets import FormatAutomaton, base_spans, secret_report
+from caseloom.llm.secrets import FormatAutomaton, base_spans, infer_formats, scan_secrets, secret_report
 from caseloom.llm.substrings import repeated_units
 
 SCHEMA = "doc_id long, text string, source string, k string"
@@ -102,6 +102,23 @@ def test_automaton_prefers_its_format():
     assert FormatAutomaton([]).likelihood("abc") == -np.inf
 
 
+def test_secrets_under_unknown_names(spark):
+    """Credentials of the labelled formats behind other names, in URLs, before a full stop, and long ones."""
+    rng = np.random.default_rng(4)
+    draw = lambda n: "".join(rng.choice(list("GHJKLMNPQRSTUVWXYZ0123456789"), n))
+    labelled = [f"token = {draw(24)} end" for _ in range(300)] + [f"secret = {draw(200)} end" for _ in range(300)]
+    short, long = draw(24), draw(200)
+    beside = "0123456789abcdef0123/" + short
+    texts = [f"AWS_ACCESS_KEY_ID={short}", f"auth={short} x", f"https://host/path/{short}/x", f"It is {short}.", f"it is {long}.", f"x {beside} y"]
+    clean = ["Version=1 of a/plain/path/to-file.txt2", "words only, no numbers"]
+    automaton, least = infer_formats(docs(spark, labelled))
+    found = scan_secrets(docs(spark, texts + clean), automaton, least, redact="#").orderBy("doc_id").collect()
+    for r in found[: len(texts)]:
+        assert short not in r._scan.redacted and long not in r._scan.redacted, r.text
+        assert [r.text[s.start : s.stop] for s in r._scan.inferred][0].endswith((short, long))
+    assert all(not r._scan.inferred for r in found[len(texts) :])
+
+
 def test_contamination_by_copy_and_edit(spark):
     item = " ".join(f"word{i}x" for i in range(30))
     edited = item.replace("word7x", "other").replace("word20x", "")
