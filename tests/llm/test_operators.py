@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from caseloom.llm import html_template, tokens
@@ -16,6 +18,7 @@ from caseloom.llm.mixing import mix_sources
 from caseloom.llm.neighbours import nearest
 from caseloom.llm.secrets import FormatAutomaton, base_spans, infer_formats, scan_secrets, secret_report
 from caseloom.llm.substrings import repeated_units
+from caseloom.llm.toxicity import score_toxicity, train_toxicity
 
 SCHEMA = "doc_id long, text string, source string, k string"
 
@@ -230,3 +233,25 @@ def test_stages_count_rows_not_ids(spark, tmp_path):
     rows = [(None, item), (1, item), (1, "clean"), (None, "clean too"), (2, None)]
     kept = corpus_pipeline.drop_contaminated(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()
     assert sorted(str(r.text) for r in kept) == ["None", "clean", "clean too"]
+
+
+def test_toxicity_reads_words_to_their_end(spark):
+    """A toxic ending of a long run counts, and a labelled id with most rows gives the driver one of them."""
+    rng = np.random.default_rng(9)
+    word = lambda n=6: "".join(rng.choice(list("abcdeo"), n))
+    texts = [" ".join([word() for _ in range(12)] + [word(9) + "zzyxqv"] * (i % 2)) for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    given = docs(spark, texts)
+    model = train_toxicity(given, labels)
+    ends = word(40)
+    scored = score_toxicity(docs(spark, [ends, ends + "zzyxqv"]), model).orderBy("doc_id").collect()
+    assert scored[0].score < 0.5 < scored[1].score
+    hot = next(i for i in range(400) if zlib.crc32(str(i).encode()) % 5)
+    repeated = given.unionByName(docs(spark, [texts[hot]] * 600).withColumn("doc_id", F.lit(hot).cast("long")))
+    taken = []
+    frame = type(given)
+    collect = frame.toPandas
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(frame, "toPandas", lambda df: taken.append(collect(df)) or taken[-1])
+        train_toxicity(repeated, labels)
+    assert len(taken[0]) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(400))
