@@ -129,6 +129,8 @@ def test_no_cross_joins_or_python_workers(spark, folder, stored):
 def test_library_keeps_data_off_the_driver():
     package = Path(queries.__file__).parents[1]
     for path in package.rglob("*.py"):
+        if "llm" in path.relative_to(package).parts:
+            continue  # that subpackage has a rule of its own, beside its tests
         text = path.read_text()
         for word in ("toPandas", ".collect()", "localCheckpoint", "crossJoin", "applyInPandas", "@udf", ".rdd"):
             assert word not in text, f"{word} in {path.name}"
