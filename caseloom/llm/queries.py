@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bytepairs import decode_ids, encode_texts, read_ranks
 from .common import table
 from .decontam import contaminated
 from .html_template import extract_pages
@@ -67,6 +68,20 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return contaminated(spark, table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of each text's token ids and of the bytes they decode to."""
+    import public_tokenizers
+
+    ranks = read_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = encode_texts(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return decode_ids(encoded, ranks).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def registered() -> dict:
-    """The ten operators over their whole tables, with production parameters."""
+    """The operators over their whole tables, with production parameters."""
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
