@@ -13,6 +13,7 @@ from .jaccard import jaccard_components
 from .licenses import scan_licenses
 from .mixing import mix_sources
 from .neighbours import nearest
+from .resampling import resample
 from .secrets import secret_report
 from .substrings import dedup_report
 from .tokens import token_counts, unigram_scores
@@ -82,6 +83,10 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(spark, table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def registered() -> dict:
     """The operators over their whole tables, with production parameters."""
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
