@@ -59,7 +59,53 @@ SELECT doc_id, n_features, weight, score,
 FROM full_scores LEFT JOIN ranked USING (doc_id)
 """
 
+OP12 = r"""
+WITH given AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS line,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+),
+words AS (SELECT lang, source, line, unnest(terms) AS term FROM given),
+kept AS (
+  SELECT lang, term, count(*)::HUGEINT AS lang_n FROM words GROUP BY lang, term HAVING count(DISTINCT line) >= 30
+),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(lang_n)::HUGEINT AS total FROM kept GROUP BY lang),
+counts AS (
+  SELECT lang, source, term, count(*)::HUGEINT AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term
+),
+sums AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM counts GROUP BY lang, source),
+groups AS (
+  SELECT lang, source, coalesce(total, 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM given) LEFT JOIN sums USING (lang, source)
+),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + 1000000000 * (coalesce(c.n, 0) + 5) // (g.total + 5 * l.v) AS p,
+    1 + 1000000000 * (k.lang_n + 5) // (l.total + 5 * l.v) AS q
+  FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang)
+    LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+),
+distances AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN distances d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 
 def sql() -> dict[str, str]:
     """SQL by query name."""
-    return {"op13_importance_resampling": OP13}
+    return {"op12_source_divergence": OP12, "op13_importance_resampling": OP13}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .bytepairs import decode_ids, encode_texts, read_ranks
 from .common import table
 from .decontam import contaminated
+from .divergence import audit_sources
 from .html_template import extract_pages
 from .jaccard import jaccard_components
 from .licenses import scan_licenses
@@ -83,6 +84,10 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_sources(spark, table(spark, folder, "documents"))
+
+
 def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resample(spark, table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
