@@ -282,6 +282,7 @@ def _report() -> str:
     parts = [row("size", "table", "rows", "count(*)"), row("size", "table", "columns", f"max({len(_RAW_COLUMNS)})")]
     parts += [row("missing", c, "missing_rows", a) for c, a in _profile_missing()]
     parts += [row("numeric", c, "non_numeric_rows", a) for c, a in _profile_non_numeric()]
+    parts += [row("numeric", c, f"{f}_value", f"{f}({_numeric_text(c)})") for c in _NUMERIC for f in ("min", "max")]
     parts += [row("binary", c, "invalid_rows", a) for c, a in _profile_invalid()]
     columns = ("age", "bmi", "year", "hbA1c_level", "blood_glucose_level")
     parts += [row("range", c, name, f"count(*) FILTER (WHERE {p})") for c, (name, p) in zip(columns, _RANGES)]
@@ -557,8 +558,12 @@ def sql() -> dict[str, str]:
             ]
         )
         + ")",
-        "stratified_split_counts": f"""{_M} SELECT CASE WHEN k < 700 THEN 'train' WHEN k < 800 THEN 'calibration' ELSE 'test' END AS split,
-            diabetes, count(*) AS row_count FROM scored GROUP BY 1, 2""",
+        "stratified_split_counts": f"""{_M}, drawn AS (
+              SELECT diabetes, count(*) OVER (PARTITION BY diabetes) AS n, row_number() OVER (
+                PARTITION BY diabetes ORDER BY ('0x' || substr(md5(row_id || ':' || diabetes || ':42'), 1, 15))::BIGINT) - 1 AS place
+              FROM scored)
+            SELECT CASE WHEN place < floor(n * 0.7::DOUBLE + 0.5) THEN 'train' WHEN place < floor(n * 0.8::DOUBLE + 0.5) THEN 'calibration'
+                ELSE 'test' END AS split, diabetes, count(*) AS row_count FROM drawn GROUP BY 1, 2""",
         "class_counts": f"{_M} SELECT diabetes, count(*) AS row_count FROM scored GROUP BY 1",
         "class_weights": f"""{_M} SELECT count(*) FILTER (WHERE diabetes = 1) AS positives,
             count(*) FILTER (WHERE diabetes = 0) AS negatives, count(*) AS rows,

@@ -42,13 +42,13 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in columns})
 
 
-def _typed_raw(spark: SparkSession, folder: str) -> DataFrame:
-    # Parsed once and stored, as in the plans: a filter over unstored rows would parse again.
-    return checkpointed(filters.typed(raw_encounters(spark, folder)))
+def _typed_raw(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    return filters.typed(raw_encounters(spark, folder).select("row_id", *dict.fromkeys(columns)))
 
 
-def _loose(spark: SparkSession, folder: str) -> DataFrame:
-    return filters.keep_valid(_typed_raw(spark, folder), spec.LOOSE_VALIDITY)
+def _loose(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+    rows = _typed_raw(spark, folder, *spec.LOOSE_VALIDITY.ranges, *more)
+    return filters.keep_valid(rows, spec.LOOSE_VALIDITY)
 
 
 def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,19 +78,19 @@ def encounter_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def validity_filter_strict(spark: SparkSession, folder: str) -> DataFrame:
-    valid = filters.keep_valid(_typed_raw(spark, folder), spec.STRICT_VALIDITY)
+    valid = filters.keep_valid(_typed_raw(spark, folder, *spec.MODEL_COLUMNS), spec.STRICT_VALIDITY)
     return valid.select("row_id", *spec.MODEL_COLUMNS)
 
 
 @_query
 def validity_filter_loose(spark: SparkSession, folder: str) -> DataFrame:
-    return _loose(spark, folder).select("row_id", *spec.MODEL_COLUMNS)
+    return _loose(spark, folder, *spec.MODEL_COLUMNS).select("row_id", *spec.MODEL_COLUMNS)
 
 
 @_query
 def dropped_rows(spark: SparkSession, folder: str) -> DataFrame:
     return filters.dropped_rows(
-        _typed_raw(spark, folder), {"strict": spec.STRICT_VALIDITY, "loose": spec.LOOSE_VALIDITY}
+        _typed_raw(spark, folder, *spec.MODEL_COLUMNS), {"strict": spec.STRICT_VALIDITY, "loose": spec.LOOSE_VALIDITY}
     )
 
 
@@ -146,17 +146,17 @@ def band_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def bmi_bucket_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return cohorts.bmi_bucket_summary(_loose(spark, folder))
+    return cohorts.bmi_bucket_summary(_loose(spark, folder, spec.LABEL))
 
 
 @_query
 def yearly_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return cohorts.yearly_summary(_loose(spark, folder))
+    return cohorts.yearly_summary(_loose(spark, folder, "year", spec.LABEL))
 
 
 @_query
 def comorbidity_profile(spark: SparkSession, folder: str) -> DataFrame:
-    return cohorts.comorbidity_profile(_loose(spark, folder))
+    return cohorts.comorbidity_profile(_loose(spark, folder, "hypertension", "heart_disease", spec.LABEL))
 
 
 @_query
@@ -303,8 +303,7 @@ def out_of_range_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def profile_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Counts of the report; the two number bounds are compared in numeric_profile."""
-    return quality.profile_report(_profiled(spark, folder)).where(~F.col("metric").isin("min_value", "max_value"))
+    return quality.profile_report(_profiled(spark, folder))
 
 
 @_query
@@ -345,7 +344,7 @@ def rule_screening(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def stratified_split_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return splits.split_counts(_divided(_model_rows(spark, folder)))
+    return splits.split_counts(splits.stratified_split(_model_rows(spark, folder)))
 
 
 @_query

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from caseloom import spec
 from caseloom.functions.bands import predicted
 from caseloom.operators.ordered import running_totals
+from caseloom.operators.radix import code_double, codes_at, double_code
+from caseloom.sources.scratch import Scratch
 from caseloom.sources.writers import checkpointed
 
 _TINY = 1e-9
@@ -137,27 +139,40 @@ def confusion_shares(confusion: DataFrame) -> DataFrame:
     return confusion.select(F.inline(F.array(*rows)))
 
 
-def percentiles(df: DataFrame, column: str, shares: Sequence[float], parts: int | None = None) -> DataFrame:
+def percentiles(df: DataFrame, column: str, shares: Sequence[float]) -> DataFrame:
     """Exact percentiles with linear interpolation, as columns p<share*100> of one row.
 
-    The built-in exact percentile keeps all distinct values of a group in one task; here the two
-    neighbours of each position are found from running counts.
+    The built-in exact percentile keeps all distinct values of a group in one task; here the neighbours
+    of each position are found by counting order-preserving codes. Infinite values are values; NULL and
+    NaN are none. Without values every percentile is NULL.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    folded = checkpointed(values.groupBy("v").agg(F.count("*").alias("n")))
-    counted = running_totals(folded, "v", ["n"], parts=parts)
-    found, named = [], []
-    for i, share in enumerate(shares):
-        position = (F.col("total_n") - 1) * F.lit(float(share))
-        below, above = F.floor(position), F.ceil(position)
-        found += [
-            F.min(F.when(F.col("cum_n") > below, F.col("v"))).alias(f"low_{i}"),
-            F.min(F.when(F.col("cum_n") > above, F.col("v"))).alias(f"high_{i}"),
-            F.max(position - below).alias(f"part_{i}"),
+    with Scratch(df.sparkSession, "percentiles") as run:
+        code = double_code(F.col(column).cast("double"))
+        rows = run.keep(df.select(F.lit(0).alias("group"), code.alias("code")).where("code IS NOT NULL"), "codes")
+        total = rows.agg(F.count("*").alias("total"))
+        places = [(F.col("total") - 1) * F.lit(float(share)) for share in shares]
+        ranks = [
+            F.struct(F.lit(f"{side}_{i}").alias("name"), turn(place).alias("rank"))
+            for i, place in enumerate(places)
+            for side, turn in (("low", F.floor), ("high", F.ceil))
         ]
+        wanted = run.keep(total.where("total > 0").select(F.lit(0).alias("group"), F.inline(F.array(*ranks))), "wanted")
+        found = run.lasting(codes_at(rows, wanted, run), "found")
+        total = run.lasting(total, "total")
+    value = code_double(F.col("code"))
+    sides = found.agg(*[F.max(F.when(F.col("name") == name, value)).alias(name) for name in _sides(len(shares))])
+    named = []
+    for i, share in enumerate(shares):
         low, high = F.col(f"low_{i}"), F.col(f"high_{i}")
-        named.append((low + (high - low) * F.col(f"part_{i}")).alias(f"p{share * 100:g}".replace(".", "_")))
-    return counted.agg(*found).select(*named)
+        place = (total.scalar() - 1) * F.lit(float(share))
+        between = low + (high - low) * (place - F.floor(place))
+        # Equal neighbours are the value itself, also where both are infinite.
+        named.append(F.when(low == high, low).otherwise(between).alias(f"p{share * 100:g}".replace(".", "_")))
+    return sides.select(*named)
+
+
+def _sides(n: int) -> list[str]:
+    return [f"{side}_{i}" for i in range(n) for side in ("low", "high")]
 
 
 def calibration_check(

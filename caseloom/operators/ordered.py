@@ -23,7 +23,7 @@ _WHOLE = (Window.unboundedPreceding, Window.unboundedFollowing)
 def number_rows(df: DataFrame, *order: Column | str, name: str = "rank", parts: int | None = None) -> DataFrame:
     """Number all rows 1, 2, … in a total order, whatever the number of rows.
 
-    `order` must not tie. The range-partitioned rows are checkpointed, so the part sizes and the
+    `order` must not tie. The range-partitioned rows are stored, so the part sizes and the
     numbered rows come from the same cut even if an executor is lost.
     """
     parts = parts or shuffle_width(df.sparkSession)

@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from caseloom import spec
-from caseloom.operators.artifact import cut_offs, final_table, with_risk_band
+from caseloom.operators.artifact import cut_offs, final_table, key_loss, with_risk_band
 from caseloom.operators.cohorts import risk_aggregation, risk_band_summary
-from caseloom.operators.filters import dropped_rows, keep_valid, typed, with_row_id
+from caseloom.operators.filters import dropped_report, keep_valid, kept_counts, typed, with_row_id
 from caseloom.operators.metrics import calibration_check, metrics_row, scores_row
 from caseloom.operators.models import (
     apply_calibration,
@@ -23,31 +23,54 @@ from caseloom.operators.models import (
     score_rows,
 )
 from caseloom.operators.splits import split_parts, stratified_split
-from caseloom.sources.readers import read_delimited, read_table, require_columns
-from caseloom.sources.writers import check_outputs, save_model, write_manifest, write_report, write_table
+from caseloom.session import shuffle_width
+from caseloom.sources.quarantine import FILE, MALFORMED, RECORD, read_checked
+from caseloom.sources.readers import read_table, require_columns
+from caseloom.sources.writers import (
+    check_outputs,
+    read_bucketed,
+    save_model,
+    write_bucketed,
+    write_manifest,
+    write_report,
+    write_table,
+)
 
 _SCORE = "prob_diabetic"
 
 
-def prepare(spark: SparkSession, source: str, out: str) -> None:
-    """Validated rows with an identity, and the report of what was dropped."""
-    raw = require_columns(read_delimited(spark, source), spec.MODEL_COLUMNS)
-    # The text is read and parsed once; counting and filtering work on the stored columns.
-    write_table(typed(raw.select(*spec.MODEL_COLUMNS)), f"{out}/typed")
-    rows = read_table(spark, f"{out}/typed")
-    write_report(dropped_rows(rows, {"strict": spec.STRICT_VALIDITY}), f"{out}/evaluation/dropped_rows")
-    write_table(with_row_id(keep_valid(rows, spec.STRICT_VALIDITY)), f"{out}/processed")
+def prepare(spark: SparkSession, source: str, out: str, multi_line: bool = True) -> None:
+    """Validated rows with an identity, the malformed records, and the report of what was dropped.
+
+    One job reads and parses the text, writes the typed columns and counts. Malformed records are stored
+    with their text under `rejected`; as far as their cells are there they take part, like in any
+    lenient reader, and the rules decide.
+    """
+    rules = {"strict": spec.STRICT_VALIDITY}
+
+    def view(raw: DataFrame) -> DataFrame:
+        return typed(require_columns(raw, spec.MODEL_COLUMNS).select(*spec.MODEL_COLUMNS, RECORD, FILE, MALFORMED))
+
+    checked = read_checked(
+        spark, source, f"{out}/typed", multi_line=multi_line, view=view, counts=kept_counts(rules)
+    )
+    write_report(dropped_report(spark, checked.counts, rules), f"{out}/evaluation/dropped_rows")
+    write_table(checked.bad, f"{out}/rejected")
+    write_table(with_row_id(keep_valid(checked.every, spec.STRICT_VALIDITY)), f"{out}/processed")
 
 
 def split(spark: SparkSession, out: str) -> None:
-    """Train, calibration and test tables."""
+    """Train, calibration and test rows: one table, one write, a folder for each part."""
     divided = stratified_split(read_table(spark, f"{out}/processed"))
-    for name, part in split_parts(divided).items():
-        write_table(part, f"{out}/features/{name}")
+    write_bucketed(divided, f"{out}/features", "row_id", shuffle_width(spark), ["split"])
+
+
+def _keyed(spark: SparkSession, path: str) -> DataFrame:
+    return read_bucketed(spark, path, "row_id", shuffle_width(spark))
 
 
 def _part(spark: SparkSession, out: str, name: str) -> DataFrame:
-    return read_table(spark, f"{out}/features/{name}")
+    return split_parts(_keyed(spark, f"{out}/features"))[name]
 
 
 def logistic(spark: SparkSession, out: str) -> None:
@@ -64,7 +87,8 @@ def logistic(spark: SparkSession, out: str) -> None:
     scored = read_table(spark, f"{out}/predictions/logistic_test")
     write_report(calibration_check(scored, "prob_diabetic_raw", _SCORE), f"{out}/evaluation/calibration_check")
     write_report(metrics_row(scored, tuned, score=_SCORE), f"{out}/evaluation/metrics_lr")
-    write_table(with_risk_band(scored, cut_offs(tuned, _SCORE), _SCORE), f"{out}/predictions/risk_stratified")
+    banded = with_risk_band(scored, cut_offs(tuned, _SCORE), _SCORE)
+    write_bucketed(banded, f"{out}/predictions/risk_stratified", "row_id", shuffle_width(spark))
     banded = read_table(spark, f"{out}/predictions/risk_stratified")
     write_report(risk_band_summary(banded, score=_SCORE), f"{out}/evaluation/risk_summary_lr", ["avg_prob"])
 
@@ -74,20 +98,32 @@ def forest(spark: SparkSession, out: str) -> None:
     save_model(fit_forest(_part(spark, out, "train")), f"{out}/models/forest")
     model = load_model(f"{out}/models/forest")
     test = _part(spark, out, "test")
-    write_table(score_rows(model, test, ["row_id", spec.LABEL]), f"{out}/predictions/forest_test")
+    scores = score_rows(model, test, ["row_id", spec.LABEL])
+    write_bucketed(scores, f"{out}/predictions/forest_test", "row_id", shuffle_width(spark))
     scored = read_table(spark, f"{out}/predictions/forest_test")
     write_report(scores_row(scored, score=_SCORE), f"{out}/evaluation/metrics_rf")
     write_report(feature_importance(model, scored), f"{out}/evaluation/feature_importance_rf", ["rank"])
 
 
-def assemble_final(spark: SparkSession, out: str) -> None:
-    """The row-level table of both scores, the band and the measures."""
-    final = final_table(
-        read_table(spark, f"{out}/predictions/risk_stratified"),
-        read_table(spark, f"{out}/predictions/forest_test"),
+def joined_final(spark: SparkSession, out: str) -> DataFrame:
+    """The join of the stored tables; all three are dealt by the row's key, so none is shuffled."""
+    return final_table(
+        _keyed(spark, f"{out}/predictions/risk_stratified"),
+        _keyed(spark, f"{out}/predictions/forest_test"),
         _part(spark, out, "test"),
     )
-    write_table(final, f"{out}/predictions/final_dataset")
+
+
+def assemble_final(spark: SparkSession, out: str) -> None:
+    """The row-level table of both scores, the band and the measures, and the rows lost in joining them."""
+    write_table(joined_final(spark, out), f"{out}/predictions/final_dataset")
+    inputs = {
+        "risk_stratified": read_table(spark, f"{out}/predictions/risk_stratified"),
+        "forest_test": read_table(spark, f"{out}/predictions/forest_test"),
+        "features": _part(spark, out, "test"),
+    }
+    lost = key_loss(inputs, read_table(spark, f"{out}/predictions/final_dataset"))
+    write_report(lost, f"{out}/evaluation/key_loss", ["input"])
 
 
 def aggregate_risk(spark: SparkSession, out: str) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -117,6 +117,55 @@ def table_from_lines(lines: DataFrame, sep: str = "\t") -> DataFrame:
     return body.select(*[F.get(fields, i).alias(name) for i, name in enumerate(names)])
 
 
+def read_file_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Raw text lines with the file and the block they stand in: `value`, `file`, `block`."""
+    place = {"file": "_metadata.file_path", "block": "_metadata.file_block_start"}
+    return spark.read.text(path).select("value", *[F.col(c).alias(name) for name, c in place.items()])
+
+
+def file_headers(lines: DataFrame, sep: str = "\t") -> DataFrame:
+    """One row per file: its first line and the trimmed names in it.
+
+    `lines` is as from `read_file_lines`, normalised or not. A file's first line is the one of the
+    lowest block and place inside it; each task keeps one line per file.
+    """
+    numbered = lines.withColumn("line", F.monotonically_increasing_id())
+    first = numbered.groupBy("file").agg(F.min_by("value", F.struct("block", "line")).alias("header"))
+    names = F.transform(F.split("header", f"\\{sep}" if sep in "|.^$*+?" else sep), F.trim)
+    return first.withColumn("names", names)
+
+
+#: What a line of a file is; all but rows are left out of the table, and all are counted.
+LINE_KINDS = ("header", "blank", "row")
+
+
+def table_from_files(lines: DataFrame, headers: DataFrame, sep: str = "\t", taken: Observation | None = None) -> DataFrame:
+    """Split lines into string columns, each file by its own header; `headers` is a stored `file_headers`.
+
+    The columns are those of all headers, in the order in which files by name first have them; a file
+    without one of them gives NULL there, as does a line that is too short. Cells beyond a file's header
+    are left out. `taken` receives the number of lines of each kind: blank lines, lines equal to the
+    file's header (one a file, and any repeat of it), and rows, which add up to all lines read. Headers
+    are one row per file, and the join is left to Spark; names come to the driver, lines do not.
+    """
+    distinct = headers.groupBy("names").agg(F.min("file").alias("file"))
+    found = distinct.agg(F.sort_array(F.collect_list(F.struct("file", "names"))).alias("all")).first()["all"]
+    names = [name for name in dict.fromkeys(n for row in found for n in row["names"]) if name]
+    if not names:
+        raise ValueError("empty input or missing header")
+    value = F.col("value")
+    kind = F.when(F.trim(value) == "", "blank").when(value == F.col("header"), "header").otherwise("row")
+    marked = lines.select("file", "value").join(headers, "file").withColumn("kind", kind)
+    if taken is not None:
+        counts = [F.count_if(F.col("kind") == k).alias(k) for k in LINE_KINDS]
+        marked = marked.observe(taken, F.count("*").alias("lines"), *counts)
+    cells = F.split(value, f"\\{sep}" if sep in "|.^$*+?" else sep)
+    at = {name: F.array_position("names", name).cast("int") for name in names}
+    return marked.where("kind = 'row'").select(
+        *[F.when(position > 0, F.get(cells, position - 1)).alias(name) for name, position in at.items()]
+    )
+
+
 def normalized_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Apply the line normaliser to one text column."""
     return lines.withColumn(column, normalize_line(F.col(column)))

@@ -87,3 +87,15 @@ class Scratch:
 
     def _delete(self, path: str) -> None:
         self._system(path).delete(self._path(path), True)
+
+
+_SESSIONS: dict[str, Scratch] = {}
+
+
+def session_scratch(spark: SparkSession) -> Scratch:
+    """The run of a whole application, for tables that returned plans read; they go when it ends."""
+    application = spark.sparkContext.applicationId
+    if application not in _SESSIONS:
+        _SESSIONS.clear()
+        _SESSIONS[application] = Scratch(spark, "session")
+    return _SESSIONS[application]

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
+import hashlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseloom.functions.text import four_places
+from caseloom.sources.scratch import session_scratch
 
 
 def write_table(df: DataFrame, path: str) -> str:
@@ -19,6 +20,53 @@ def write_table(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_counted(df: DataFrame, path: str, counts: Mapping[str, Column], partition_by: Sequence[str] = ()) -> dict[str, int]:
+    """Write Parquet, and return aggregates of the rows taken by the same job.
+
+    The counts ride on the tasks that write, so no second pass reads or parses the source. A retried
+    task counts once, as its output does.
+    """
+    taken = Observation()
+    measured = df.observe(taken, *[value.alias(name) for name, value in counts.items()])
+    writer = measured.write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return dict(taken.get)
+
+
+def _table_name(path: str) -> str:
+    return f"stored_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write Parquet dealt and sorted by a key, so that tables of the same key join without a shuffle.
+
+    One shuffle here puts each bucket into one task, hence one file per bucket and partition value.
+    """
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
+    writer = df.repartition(buckets, key).write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer.partitionBy(*partition_by) if partition_by else writer).option("path", path).saveAsTable(_table_name(path))
+    return read_bucketed(spark, path, key, buckets)
+
+
+def read_bucketed(spark: SparkSession, path: str, key: str, buckets: int) -> DataFrame:
+    """A table of `write_bucketed`; a later session, which does not know it yet, learns its layout first."""
+    name = _table_name(path)
+    if not spark.catalog.tableExists(name):
+        kept = spark.read.parquet(path)
+        inside = {c for c in kept.columns for f in kept.inputFiles()[:1] if f"/{c}=" in f}
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+        parted = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in inside)}) " if inside else ""
+        place = path.replace("'", "\\'")
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet {parted}"
+            f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{place}'"
+        )
+        if inside:
+            spark.catalog.recoverPartitions(name)
+    return spark.table(name)
+
+
 def write_delimited(df: DataFrame, path: str, columns: Sequence[str] | None = None, sep: str = ",") -> str:
     """Write delimited text with a header in a fixed column order; any size, one file per task."""
     out = df.select(*[F.col(f"`{name}`") for name in columns]) if columns else df
@@ -59,21 +107,12 @@ def save_model(model, path: str) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Store the rows in the shared checkpoint folder and go on from there.
+    """Store the rows as a Parquet table in the shared scratch folder and go on from there.
 
-    The folder is the session's `spark.checkpoint.dir`. Only a local session without one gets a
-    temporary folder; on a cluster the setting is required.
+    A later plan starts at a pruned file scan. The table stays until the application ends, because the
+    plan returned to the caller reads it; steps with an end of their own use a `Scratch` and drop theirs.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="caseloom-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    return session_scratch(df.sparkSession).keep(df, "stored")
 
 
 OUTPUT_STATUS = T.StructType(

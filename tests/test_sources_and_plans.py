@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from caseloom import spec
 from caseloom.plans.evidence import run_evidence
-from caseloom.plans.scoring import run_scoring
+from caseloom.plans.scoring import joined_final, prepare, run_scoring
 from caseloom.plans.summaries import run_summaries
 from caseloom.sources import readers, writers
 from caseloom.sources.encounters import raw_encounters
@@ -85,7 +85,8 @@ def test_reports_are_one_sorted_file(spark, tmp_path):
 def test_checkpoint_uses_the_session_folder(spark):
     df = writers.checkpointed(spark.range(5))
     assert df.count() == 5
-    assert spark.sparkContext.getCheckpointDir().startswith("file:" + spark.conf.get("spark.checkpoint.dir"))
+    assert all(spark.conf.get("spark.checkpoint.dir") in path for path in df.inputFiles())
+    assert "FileScan parquet" in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_output_check_and_manifest(spark, tmp_path):
@@ -104,6 +105,8 @@ def test_summaries_run(spark, raw_csv, tmp_path):
     dropped = lines_of(paths["dropped_rows"])[1].split("\t")
     assert dropped[0] == "loose" and int(dropped[1]) == 1500 == int(dropped[2]) + int(dropped[3])
     kept = int(dropped[2])
+    counted = dict(line.split("\t") for line in lines_of(paths["line_counts"])[1:])
+    assert int(counted["lines"]) == sum(int(counted[k]) for k in readers.LINE_KINDS) and counted["row"] == "1500"
     bmi = [line.split("\t") for line in lines_of(paths["bmi_bucket_summary"])]
     assert bmi[0] == ["bucket", "count", "avg_ratio", "diabetes_rate", "tier"]
     assert sum(int(r[1]) for r in bmi[1:]) == kept
@@ -133,12 +136,65 @@ def test_evidence_run(spark, raw_csv, tmp_path):
     assert any(line.startswith("size,table,rows,1500") for line in lines_of(paths["data_quality"]))
 
 
+def test_plans_account_for_malformed_records(spark, raw_csv, tmp_path):
+    """A quoted line break is one record, a short and a long record are set aside, in all flows."""
+    source = tmp_path / "in"
+    source.mkdir()
+    for part in Path(raw_csv).glob("part-*"):
+        (source / part.name).write_text(part.read_text())
+    header = lines_of(raw_csv)[0]
+    fields = ["2015", "Female", "40.0", '"NATION\n1"', "0", "0", "1", "0", "0", "0", "0", "never", "25.0", "5.5", "120.0", "0"]
+    rows = [",".join(fields), "2015,Female,40.0", ",".join([*fields, "more"])]
+    (source / "part-zz.csv").write_text("\n".join([header, *rows]) + "\n")
+    assert len(header.split(",")) == len(fields)
+
+    paths = run_evidence(spark, str(source), str(tmp_path / "evidence"), min_size=50)
+    counts = dict(line.split(",") for line in lines_of(paths["record_counts"])[1:])
+    assert counts == {"rows_in": "1503", "rows_good": "1501", "rows_bad": "2"}
+    assert sorted(r.record for r in readers.read_table(spark, paths["rejected"]).collect()) == sorted(rows[1:])
+    assert readers.read_table(spark, paths["cleaned"]).count() == 1503
+    assert lines_of(paths["cleaned_size"])[1] == f"1503,{len(spec.CLEAN_COLUMNS)}"
+    assert readers.read_table(spark, paths["cleaned"]).where("location LIKE '%\n%'").count() == 2
+
+    prepare(spark, str(source), str(tmp_path / "scoring"))
+    dropped = lines_of(tmp_path / "scoring/evaluation/dropped_rows")[1].split(",")
+    assert dropped[1] == "1503" and int(dropped[2]) + int(dropped[3]) == 1503
+    assert readers.read_table(spark, str(tmp_path / "scoring/processed")).count() == int(dropped[2])
+    assert readers.read_table(spark, str(tmp_path / "scoring/rejected")).count() == 2
+    with pytest.raises(ValueError):
+        (source / "part-00.csv").write_text("a,b\n1,2\n")
+        prepare(spark, str(source / "part-00.csv"), str(tmp_path / "other"))
+
+
+def test_a_bucketed_table_joins_without_a_shuffle_in_any_session(spark, tmp_path):
+    left = writers.write_bucketed(spark.range(100).selectExpr("id AS row_id", "id % 3 AS part"), f"{tmp_path}/l", "row_id", 4, ["part"])
+    right = writers.write_bucketed(spark.range(50).selectExpr("id AS row_id", "id * 2 AS v"), f"{tmp_path}/r", "row_id", 4)
+    assert len(list(Path(f"{tmp_path}/r").glob("part-*"))) == 4
+    for _ in range(2):
+        joined = left.where("part = 1").hint("merge").join(right.hint("merge"), "row_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan and "PartitionFilters: [isnotnull(part" in plan
+        assert joined.count() == 17
+        for name in ("l", "r"):  # as a later session would find them: files, but no table
+            spark.sql(f"DROP TABLE {writers._table_name(f'{tmp_path}/{name}')}")
+        left, right = (writers.read_bucketed(spark, f"{tmp_path}/{name}", "row_id", 4) for name in ("l", "r"))
+
+
 def test_scoring_run(spark, raw_csv, tmp_path):
     out = str(tmp_path)
     status = run_scoring(spark, raw_csv, out)
     assert {r.status for r in status.collect()} == {"OK"} and status.count() == 5
     final = readers.read_table(spark, f"{out}/predictions/final_dataset")
-    test_rows = readers.read_table(spark, f"{out}/features/test").count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange" not in joined_final(spark, out)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lost = readers.read_result(spark, f"{out}/evaluation/key_loss").collect()
+    assert len(lost) == 3 and {r.rows_lost for r in lost} == {"0"}
+    parts = {r.split: r["count"] for r in readers.read_table(spark, f"{out}/features").groupBy("split").count().collect()}
+    test_rows = parts["test"]
+    assert abs(parts["train"] - 0.7 * sum(parts.values())) <= 2
     assert final.count() == test_rows > 200
 
     row = readers.single_row(readers.read_result(spark, f"{out}/evaluation/metrics_lr"))
