@@ -298,6 +298,33 @@ def _report() -> str:
     return _union(parts)
 
 
+# Row numbers by draw within the class, and the parts of the exact split.
+_PARTS = """placed AS (
+      SELECT *, count(*) OVER (PARTITION BY diabetes) AS class_rows, row_number() OVER (
+        PARTITION BY diabetes ORDER BY ('0x' || substr(md5(row_id || ':' || diabetes || ':42'), 1, 15))::BIGINT) - 1 AS place
+      FROM scored),
+    parts AS (SELECT *, CASE WHEN place < floor(class_rows * 0.7::DOUBLE + 0.5) THEN 'train'
+        WHEN place < floor(class_rows * 0.8::DOUBLE + 0.5) THEN 'calibration' ELSE 'test' END AS split FROM placed)"""
+
+
+def _platt(steps: int = 14) -> str:
+    """Newton's method on slope and shift, one pair of tables a step."""
+    chain = ["t0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)"]
+    for k in range(steps):
+        chain.append(
+            f"""g{k} AS (SELECT sum((y - p) * x) AS ga, sum(y - p) AS gb, sum(p * (1 - p) * x * x) AS haa,
+                  sum(p * (1 - p) * x) AS hab, sum(p * (1 - p)) AS hbb
+                FROM (SELECT x, y, 1 / (1 + exp(-(a * x + b))) AS p FROM pairs, t{k}))"""
+        )
+        chain.append(
+            f"""t{k + 1} AS (SELECT a + (hbb * ga - hab * gb) / (haa * hbb - hab * hab) AS a,
+                  b + (haa * gb - hab * ga) / (haa * hbb - hab * hab) AS b FROM t{k}, g{k})"""
+        )
+    return f"""{_M}, {_PARTS}, pairs AS (SELECT score AS x, diabetes AS y FROM parts WHERE split = 'calibration'), {", ".join(chain)}
+        SELECT row_id, diabetes, round(score, 6) AS score, round(1 / (1 + exp(-(a * score + b))), 6) AS prob_diabetic
+        FROM parts, t{steps} WHERE split = 'test'"""
+
+
 def _risk_dimension(name: str, bucket: str) -> str:
     return f"""SELECT '{name}' AS dimension, bucket, count(*) AS n, avg(score) AS avg_prob,
                       avg(diabetes) AS diabetic_rate
@@ -458,6 +485,24 @@ def sql() -> dict[str, str]:
         "risk_aggregation": f"{_M} SELECT dimension, bucket, n, {_round(6, 'avg_prob', 'diabetic_rate')} FROM ({_RISK})",
         "predicted_vs_actual": f"""{_M} SELECT CAST(ord AS INTEGER) AS ord, bucket, n, {_round(6, 'avg_prob', 'diabetic_rate')}
             FROM {_ordered(_AGE[1])} LEFT JOIN (SELECT * FROM ({_RISK}) WHERE dimension = 'age') USING (bucket)""",
+        "predicted_vs_actual_bmi": f"""{_M} SELECT CAST(ord AS INTEGER) AS ord, bucket, n, {_round(6, 'avg_prob', 'diabetic_rate')}
+            FROM {_ordered(_BMI[1])} LEFT JOIN (SELECT * FROM ({_RISK}) WHERE dimension = 'bmi') USING (bucket)""",
+        "predicted_vs_actual_hba1c": f"""{_M} SELECT CAST(ord AS INTEGER) AS ord, bucket, n, {_round(6, 'avg_prob', 'diabetic_rate')}
+            FROM {_ordered(_HBA1C[1])} LEFT JOIN (SELECT * FROM ({_RISK}) WHERE dimension = 'hbA1c_level') USING (bucket)""",
+        "predicted_vs_actual_glucose": f"""{_M} SELECT CAST(ord AS INTEGER) AS ord, bucket, n, {_round(6, 'avg_prob', 'diabetic_rate')}
+            FROM {_ordered(_GLUCOSE[1])} LEFT JOIN (SELECT * FROM ({_RISK}) WHERE dimension = 'blood_glucose_level') USING (bucket)""",
+        "flag_risk_heart_disease": f"""{_M} SELECT dimension, CAST(bucket AS INTEGER) AS bucket, n,
+            {_round(6, 'avg_prob', 'diabetic_rate')}, CASE bucket WHEN '0' THEN 'No Heart Disease' WHEN '1' THEN 'Heart Disease' END AS label
+            FROM ({_RISK}) WHERE dimension = 'heart_disease'""",
+        "label_crosstab_bmi": f"""{_E} SELECT CAST(ord AS INTEGER) AS ord, bucket, no_diabetes, diabetes
+            FROM {_ordered(_BMI_STAGE[1])} LEFT JOIN (
+              SELECT {_BMI_STAGE_SQL} AS bucket, count(*) FILTER (WHERE e.diabetes = 0) AS no_diabetes,
+                     count(*) FILTER (WHERE e.diabetes = 1) AS diabetes FROM encounters e GROUP BY 1) USING (bucket)""",
+        "usable_rows": f"""{_E} SELECT count(*) AS rows_in,
+            count(*) FILTER (WHERE row_id % 7 <> 0 AND score IS NOT NULL AND row_id % 11 <> 0) AS rows_used,
+            count(*) FILTER (WHERE row_id % 11 = 0) AS bad_label,
+            count(*) FILTER (WHERE row_id % 11 <> 0 AND (row_id % 7 = 0 OR score IS NULL)) AS bad_score FROM encounters""",
+        "platt_newton": _platt(),
         "flag_risk": f"""{_M} SELECT dimension, CAST(bucket AS INTEGER) AS bucket, n, {_round(6, 'avg_prob', 'diabetic_rate')},
             CASE bucket WHEN '0' THEN 'No HTN' WHEN '1' THEN 'With HTN' END AS label
             FROM ({_RISK}) WHERE dimension = 'hypertension'""",
@@ -558,12 +603,7 @@ def sql() -> dict[str, str]:
             ]
         )
         + ")",
-        "stratified_split_counts": f"""{_M}, drawn AS (
-              SELECT diabetes, count(*) OVER (PARTITION BY diabetes) AS n, row_number() OVER (
-                PARTITION BY diabetes ORDER BY ('0x' || substr(md5(row_id || ':' || diabetes || ':42'), 1, 15))::BIGINT) - 1 AS place
-              FROM scored)
-            SELECT CASE WHEN place < floor(n * 0.7::DOUBLE + 0.5) THEN 'train' WHEN place < floor(n * 0.8::DOUBLE + 0.5) THEN 'calibration'
-                ELSE 'test' END AS split, diabetes, count(*) AS row_count FROM drawn GROUP BY 1, 2""",
+        "stratified_split_counts": f"{_M}, {_PARTS} SELECT split, diabetes, count(*) AS row_count FROM parts GROUP BY 1, 2",
         "class_counts": f"{_M} SELECT diabetes, count(*) AS row_count FROM scored GROUP BY 1",
         "class_weights": f"""{_M} SELECT count(*) FILTER (WHERE diabetes = 1) AS positives,
             count(*) FILTER (WHERE diabetes = 0) AS negatives, count(*) AS rows,

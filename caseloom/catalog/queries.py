@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +15,6 @@ from caseloom.operators.cleaning import clean_rows
 from caseloom.operators.shape import share_of_total
 from caseloom.sources.encounters import encounters, key_draw, raw_encounters, raw_lines
 from caseloom.sources.readers import normalized_lines, read_table
-from caseloom.session import fill_unset
 from caseloom.sources.writers import checkpointed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,13 +22,8 @@ _REGISTRY: dict[str, Query] = {}
 
 
 def _query(function: Query) -> Query:
-    @wraps(function)
-    def tuned(spark: SparkSession, folder: str) -> DataFrame:
-        fill_unset(spark)
-        return function(spark, folder)
-
-    _REGISTRY[function.__name__] = tuned
-    return tuned
+    _REGISTRY[function.__name__] = function
+    return function
 
 
 def registered() -> dict[str, Query]:
@@ -186,6 +179,31 @@ def flag_risk(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(cohorts.flag_risk(aggregated, "hypertension"), 6, "avg_prob", "diabetic_rate")
 
 
+def _risk_of(spark: SparkSession, folder: str) -> DataFrame:
+    return cohorts.risk_aggregation(_model_rows(spark, folder, "score"))
+
+
+@_query
+def predicted_vs_actual_bmi(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(cohorts.predicted_vs_actual(_risk_of(spark, folder), "bmi"), 6, "avg_prob", "diabetic_rate")
+
+
+@_query
+def predicted_vs_actual_hba1c(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(cohorts.predicted_vs_actual(_risk_of(spark, folder), "hbA1c_level"), 6, "avg_prob", "diabetic_rate")
+
+
+@_query
+def predicted_vs_actual_glucose(spark: SparkSession, folder: str) -> DataFrame:
+    found = cohorts.predicted_vs_actual(_risk_of(spark, folder), "blood_glucose_level")
+    return _rounded(found, 6, "avg_prob", "diabetic_rate")
+
+
+@_query
+def flag_risk_heart_disease(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(cohorts.flag_risk(_risk_of(spark, folder), "heart_disease"), 6, "avg_prob", "diabetic_rate")
+
+
 @_query
 def rate_ratios(spark: SparkSession, folder: str) -> DataFrame:
     """Each band's positive rate against a baseline band of its dimension."""
@@ -223,6 +241,12 @@ def label_crosstab(spark: SparkSession, folder: str) -> DataFrame:
     return cohorts.label_crosstab(df, bucketize(F.col("age"), spec.AGE_STAGE), spec.AGE_STAGE.labels)
 
 
+@_query
+def label_crosstab_bmi(spark: SparkSession, folder: str) -> DataFrame:
+    df = encounters(spark, folder, ["bmi", "diabetes"])
+    return cohorts.label_crosstab(df, bucketize(F.col("bmi"), spec.BMI_STAGE), spec.BMI_STAGE.labels)
+
+
 @_query
 def group_rates(spark: SparkSession, folder: str) -> DataFrame:
     rates = cohorts.group_rates(
@@ -402,6 +426,23 @@ def f2_threshold(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(metrics.best_threshold(metrics.pr_curve(curve)), 8, "threshold", "f2")
 
 
+@_query
+def usable_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows the evaluation reads and leaves out, on scores of which some are missing and labels of which some are 2."""
+    rows = encounters(spark, folder, ["row_id", "diabetes", "score"])
+    holes = {"score": F.when(F.col("row_id") % 7 != 0, F.col("score")), "diabetes": F.when(F.col("row_id") % 11 == 0, 2).otherwise(F.col("diabetes"))}
+    return metrics.usable_rows(rows.withColumns(holes))
+
+
+@_query
+def platt_newton(spark: SparkSession, folder: str) -> DataFrame:
+    """The fixed score calibrated on one part of the exact split, by class, and applied to another."""
+    parts = splits.split_parts(splits.stratified_split(checkpointed(_model_rows(spark, folder, "score"))))
+    slope, shift, _ = models.platt_newton(parts["calibration"], "score")
+    calibrated = models.apply_platt(parts["test"], slope, shift, "score", "prob_diabetic")
+    return _rounded(calibrated.select("row_id", spec.LABEL, "score", "prob_diabetic"), 6, "score", "prob_diabetic")
+
+
 @_query
 def confusion_metrics(spark: SparkSession, folder: str) -> DataFrame:
     table = metrics.confusion_metrics(_model_rows(spark, folder, "score"), 0.6)

@@ -28,6 +28,19 @@ def _labelled(df: DataFrame, label: str, score: str) -> DataFrame:
     return rows.where(F.col("y").isin(0, 1) & F.col("score").isNotNull() & ~F.isnan("score"))
 
 
+def usable_rows(df: DataFrame, label: str = spec.LABEL, score: str = "score") -> DataFrame:
+    """How many rows the metrics read, and how many they leave out for their label or else their score."""
+    good_label = F.coalesce(F.col(label).cast("int").isin(0, 1), F.lit(False))
+    number = F.col(score).cast("double")
+    good_score = number.isNotNull() & ~F.isnan(number)
+    return df.agg(
+        F.count("*").alias("rows_in"),
+        F.count_if(good_label & good_score).alias("rows_used"),
+        F.count_if(~good_label).alias("bad_label"),
+        F.count_if(good_label & ~good_score).alias("bad_score"),
+    )
+
+
 def score_curve(df: DataFrame, label: str = spec.LABEL, score: str = "score", parts: int | None = None) -> DataFrame:
     """Per distinct score, highest first: positives and negatives there, from there up, and in all."""
     folded = (

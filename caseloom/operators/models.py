@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from caseloom import spec
 from caseloom.functions.text import lookup
 from caseloom.operators.ranking import top_ranked
+from caseloom.sources.scratch import Scratch
 from caseloom.sources.writers import checkpointed
 
 WEIGHT = "class_weight"
@@ -118,6 +119,53 @@ def fit_platt(
     return Pipeline(stages=stages).fit(checkpointed(scored.select(label, score)))
 
 
+def platt_newton(
+    scored: DataFrame, score: str = "prob_diabetic_raw", label: str = spec.LABEL, max_iter: int = 50, tol: float = 1e-10
+) -> tuple[float, float, int]:
+    """Slope and shift of P(label = 1) = 1 / (1 + exp(-(slope * score + shift))), and the steps taken.
+
+    Unweighted maximum likelihood by Newton's method. A step is one aggregate of six sums over the
+    stored label and score, of which two numbers are solved for at the driver; a step that would lower
+    the likelihood is halved. Rows without a 0/1 label or a number as score take no part. A single class
+    or constant scores have no finite optimum and are an error.
+    """
+    x, y = F.col("x"), F.col("y")
+    with Scratch(scored.sparkSession, "platt") as run:
+        usable = F.col(label).cast("int").isin(0, 1) & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
+        rows = run.keep(scored.where(usable).select(F.col(score).cast("double").alias("x"), F.col(label).cast("double").alias("y")), "pairs")
+
+        def sums(slope: float, shift: float):
+            z = F.lit(slope) * x + F.lit(shift)
+            p = 1 / (1 + F.exp(-z))
+            # ln(1 + e^z), without overflow.
+            rise = F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z)))
+            w = p * (1 - p)
+            terms = {"fit": y * z - rise, "ga": (y - p) * x, "gb": y - p, "haa": w * x * x, "hab": w * x, "hbb": w}
+            return rows.agg(*[F.sum(term).alias(name) for name, term in terms.items()]).first()
+
+        slope = shift = 0.0
+        now = sums(slope, shift)
+        for step in range(max_iter):
+            whole = now["hbb"] and now["haa"] * now["hbb"] - now["hab"] ** 2
+            if not whole or whole <= 1e-12 * now["haa"] * now["hbb"]:
+                raise ValueError("no finite calibration: one class only, constant scores, or classes apart")
+            da = (now["hbb"] * now["ga"] - now["hab"] * now["gb"]) / whole
+            db = (now["haa"] * now["gb"] - now["hab"] * now["ga"]) / whole
+            after = sums(slope + da, shift + db)
+            while after["fit"] < now["fit"] - 1e-9 * abs(now["fit"]):
+                da, db = da / 2, db / 2
+                after = sums(slope + da, shift + db)
+            slope, shift, now = slope + da, shift + db, after
+            if max(abs(da), abs(db)) <= tol * max(1.0, abs(slope), abs(shift)):
+                break
+    return slope, shift, step + 1
+
+
+def apply_platt(df: DataFrame, slope: float, shift: float, score: str = "prob_diabetic_raw", name: str = "prob_diabetic") -> DataFrame:
+    """Add the calibrated probability of a score; an expression of the scan, no model object needed."""
+    return df.withColumn(name, 1 / (1 + F.exp(-(F.lit(slope) * F.col(score) + F.lit(shift)))))
+
+
 def apply_calibration(
     model: PipelineModel, platt: PipelineModel, df: DataFrame, ids: Sequence[str] = (), label: str = spec.LABEL
 ) -> DataFrame:

@@ -16,6 +16,7 @@ from caseloom import spec
 from caseloom.functions.text import flag_state, is_missing, lookup, parse_double, parse_flag, strip, two_place_percent
 from caseloom.operators.shape import melt, reindex, tally
 from caseloom.sources.readers import present
+from caseloom.sources.scratch import Scratch
 
 _BLANKS = spec.PROFILE_BLANKS
 _ONE_HOT_CHECKS = ("exactly one flag", "all flags zero", "several flags", "non-binary flag")
@@ -216,11 +217,38 @@ def table_size(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("row_count")).withColumn("column_count", F.lit(len(df.columns)))
 
 
-def key_repeats(df: DataFrame, key: str, top: int | None = 20) -> DataFrame:
-    """Occurrences per stripped key, most frequent first."""
-    counts = df.groupBy(strip(_c(key)).alias("key")).agg(F.count("*").alias("row_count"))
-    ordered = counts.orderBy(F.desc("row_count"), "key")
-    return ordered if top is None else ordered.limit(top)
+def key_repeats(df: DataFrame, key: str, top: int | None = 20, buckets: int = 1 << 16) -> DataFrame:
+    """Occurrences per stripped key, most frequent first; all keys without `top`.
+
+    With `top` no pass brings all keys together. Rows are counted by a hash bucket of the key, which
+    folds to `buckets` numbers a task; a bucket's count bounds that of each key in it. The keys of the
+    heaviest buckets are counted exactly, and the `top`-th count among them is one that a key must reach.
+    If no other bucket reaches it, the result is proven; else the buckets that do are counted too, up to
+    all of them where counts are flat. Nothing is estimated.
+    """
+    shown = df.select(strip(_c(key)).alias("key"))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("key").agg(F.count("*").alias("row_count"))
+
+    order = [F.desc("row_count"), "key"]
+    if top is None:
+        return counted(shown).orderBy(*order)
+    placed = shown.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    with Scratch(df.sparkSession, "keys") as run:
+        totals = run.keep(placed.groupBy("bucket").agg(F.count("*").alias("n")), "buckets")
+        heavy = run.keep(totals.orderBy(F.desc("n"), "bucket").limit(4 * top), "heavy")
+
+        def inside(chosen: DataFrame) -> DataFrame:
+            return counted(placed.join(chosen, "bucket", "left_semi"))
+
+        first = run.lasting(inside(heavy).orderBy(*order).limit(top), "first")
+        least = first.agg(F.when(F.count("*") >= top, F.min("row_count")).otherwise(0).alias("least")).first()["least"]
+        open_ = run.keep(totals.join(heavy, "bucket", "left_anti").where(F.col("n") >= least), "open")
+        if open_.isEmpty():
+            return first.orderBy(*order)
+        second = run.lasting(inside(open_).orderBy(*order).limit(top), "second")
+    return first.unionByName(second).orderBy(*order).limit(top)
 
 
 def category_values(df: DataFrame, category: str, top: int | None = 100) -> DataFrame:

@@ -12,9 +12,10 @@ from caseloom import spec
 from caseloom.operators.artifact import cut_offs, final_table, key_loss, with_risk_band
 from caseloom.operators.cohorts import risk_aggregation, risk_band_summary
 from caseloom.operators.filters import dropped_report, keep_valid, kept_counts, typed, with_row_id
-from caseloom.operators.metrics import calibration_check, metrics_row, scores_row
+from caseloom.operators.metrics import calibration_check, metrics_row, scores_row, usable_rows
 from caseloom.operators.models import (
     apply_calibration,
+    convergence,
     feature_importance,
     fit_forest,
     fit_logistic,
@@ -75,7 +76,11 @@ def _part(spark: SparkSession, out: str, name: str) -> DataFrame:
 
 def logistic(spark: SparkSession, out: str) -> None:
     """Logistic regression, Platt calibration, calibrated scores, metrics and risk bands."""
-    save_model(fit_logistic(_part(spark, out, "train")), f"{out}/models/logistic")
+    fitted = fit_logistic(_part(spark, out, "train"))
+    # How often the fit iterated is known only here; a saved model has lost it.
+    training = spark.createDataFrame([(convergence(fitted),)], "iterations int")
+    write_report(training, f"{out}/evaluation/training_lr")
+    save_model(fitted, f"{out}/models/logistic")
     model = load_model(f"{out}/models/logistic")
     tuning = _part(spark, out, "calibration")
     save_model(fit_platt(score_rows(model, tuning, [spec.LABEL], "prob_diabetic_raw")), f"{out}/models/platt")
@@ -85,6 +90,9 @@ def logistic(spark: SparkSession, out: str) -> None:
 
     tuned = read_table(spark, f"{out}/predictions/logistic_calibration", [spec.LABEL, _SCORE])
     scored = read_table(spark, f"{out}/predictions/logistic_test")
+    both = read_table(spark, f"{out}/predictions/logistic_calibration")
+    write_report(calibration_check(both, "prob_diabetic_raw", _SCORE), f"{out}/evaluation/calibration_check_tuning")
+    write_report(usable_rows(scored, score=_SCORE), f"{out}/evaluation/usable_rows_lr")
     write_report(calibration_check(scored, "prob_diabetic_raw", _SCORE), f"{out}/evaluation/calibration_check")
     write_report(metrics_row(scored, tuned, score=_SCORE), f"{out}/evaluation/metrics_lr")
     banded = with_risk_band(scored, cut_offs(tuned, _SCORE), _SCORE)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # The JVM does not compile methods over 8000 bytes of bytecode. Stages that would need a longer one
-# run faster as separate operators, so let Spark fall back at that size.
+# run faster as separate operators, so sessions built here let Spark fall back at that size. A session
+# made elsewhere keeps its own settings.
 _TUNING = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -25,14 +26,6 @@ def build_session(app: str = "caseloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def fill_unset(spark: SparkSession) -> None:
-    """Apply the run-time tuning to a session made elsewhere, where its owner set nothing."""
-    given = spark.sparkContext.getConf()
-    for key, value in _TUNING.items():
-        if not given.contains(key):
-            spark.conf.set(key, value)
-
-
 def shuffle_width(spark: SparkSession) -> int:
     """The session's shuffle partition count, used to size ordered parts."""
     return max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from caseloom import spec
 from caseloom.plans.evidence import run_evidence
 from caseloom.plans.scoring import joined_final, prepare, run_scoring
+from caseloom.plans.overview import run_overview
+from caseloom.plans.results import run_results
 from caseloom.plans.summaries import run_summaries
 from caseloom.sources import readers, writers
 from caseloom.sources.encounters import raw_encounters
@@ -180,6 +182,19 @@ def test_a_bucketed_table_joins_without_a_shuffle_in_any_session(spark, tmp_path
         left, right = (writers.read_bucketed(spark, f"{tmp_path}/{name}", "row_id", 4) for name in ("l", "r"))
 
 
+def test_overview_run(spark, raw_csv, tmp_path):
+    paths = run_overview(spark, raw_csv, str(tmp_path))
+    shown = {name: readers.read_result(spark, path).collect() for name, path in paths.items() if name not in ("raw", "typed")}
+    (card,) = shown["data_card"]
+    assert card.records == "1500" and sum(int(r.row_count) for r in shown["rows_per_year"]) == 1500
+    for name, n in (("crosstab_age", 4), ("crosstab_bmi", 4), ("comorbidity_tiers", 4), ("top_locations", 15), ("top_profiles", 5)):
+        assert len(shown[name]) == n, name
+    missing = spark.read.parquet(paths["raw"]).where("age IS NULL OR trim(age) = ''").count()
+    assert {r.column_name: int(r.missing_rows) for r in shown["missing_counts"]}["age"] == missing > 0
+    rates = [float(r.rate) for r in shown["top_locations"]]
+    assert rates == sorted(rates, reverse=True)
+
+
 def test_scoring_run(spark, raw_csv, tmp_path):
     out = str(tmp_path)
     status = run_scoring(spark, raw_csv, out)
@@ -190,6 +205,18 @@ def test_scoring_run(spark, raw_csv, tmp_path):
         assert "Exchange" not in joined_final(spark, out)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert 0 < int(readers.read_result(spark, f"{out}/evaluation/training_lr").first().iterations) <= 25
+    used = readers.read_result(spark, f"{out}/evaluation/usable_rows_lr").first()
+    assert used.rows_in == used.rows_used and used.bad_label == used.bad_score == "0"
+    assert readers.read_result(spark, f"{out}/evaluation/calibration_check_tuning").count() == 1
+    results = run_results(spark, out)
+    shown = {name: readers.read_result(spark, path).collect() for name, path in results.items()}
+    assert sum(float(r.percent) for r in shown["confusion_shares"]) == pytest.approx(100, abs=1e-6)
+    assert sum(float(r.percent) for r in shown["band_shares"]) == pytest.approx(100, abs=1e-6)
+    assert {r.metric for r in shown["model_comparison"]} == {"auc_roc", "auc_pr"}
+    assert all(float(r.lr) > 0.8 and float(r.rf) > 0.8 for r in shown["model_comparison"] if r.metric == "auc_roc")
+    assert [len(shown[f"predicted_vs_actual_{n}"]) for n in ("bmi", "hbA1c_level")] == [4, 3]
+    assert [r.label for r in shown["flag_risk_heart_disease"]] == ["No Heart Disease", "Heart Disease"]
     lost = readers.read_result(spark, f"{out}/evaluation/key_loss").collect()
     assert len(lost) == 3 and {r.rows_lost for r in lost} == {"0"}
     parts = {r.split: r["count"] for r in readers.read_table(spark, f"{out}/features").groupBy("split").count().collect()}
