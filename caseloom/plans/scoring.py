@@ -6,6 +6,9 @@ a lost executor costs one stage's tasks, not the chain.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from caseloom import spec
@@ -24,6 +27,7 @@ from caseloom.operators.models import (
     score_rows,
 )
 from caseloom.operators.splits import split_parts, stratified_split
+from caseloom.plans.ledger import Ledger
 from caseloom.session import shuffle_width
 from caseloom.sources.quarantine import FILE, MALFORMED, RECORD, read_checked
 from caseloom.sources.readers import read_table, require_columns
@@ -151,11 +155,28 @@ def validate(spark: SparkSession, out: str) -> DataFrame:
 
 
 def run_scoring(spark: SparkSession, source: str, out: str) -> DataFrame:
-    """All stages in order; returns the status of the outputs."""
-    prepare(spark, source, out)
-    split(spark, out)
-    logistic(spark, out)
-    forest(spark, out)
-    assemble_final(spark, out)
-    aggregate_risk(spark, out)
+    """All stages; returns the status of the outputs.
+
+    Each stage is recorded with the files that it read and wrote. Started again after a loss, a run goes
+    on with the first stage that is not done, or whose input is another one. The two models read the
+    same split table and nothing of each other, so their jobs share the cluster.
+    """
+    ledger = Ledger(spark, f"{out}/ledger")
+    features, predictions, models = f"{out}/features", f"{out}/predictions", f"{out}/models"
+
+    def step(stage: Callable[..., None], reads: Sequence[str], writes: Sequence[str], *more: str) -> None:
+        ledger.step(stage.__name__, reads, writes, lambda: stage(spark, *more, out))
+
+    step(prepare, [source], [f"{out}/processed"], source)
+    step(split, [f"{out}/processed"], [features])
+    _keyed(spark, features)  # known to the catalog before both branches ask for it
+    branches = [
+        (logistic, [features], [f"{predictions}/risk_stratified", f"{models}/logistic", f"{models}/platt"]),
+        (forest, [features], [f"{predictions}/forest_test", f"{models}/forest"]),
+    ]
+    with ThreadPoolExecutor(len(branches)) as pool:
+        for branch in [pool.submit(step, *b) for b in branches]:
+            branch.result()
+    step(assemble_final, [features, f"{predictions}/risk_stratified", f"{predictions}/forest_test"], [f"{predictions}/final_dataset"])
+    step(aggregate_risk, [f"{predictions}/final_dataset"], [f"{out}/evaluation/risk_aggregation_lr"])
     return validate(spark, out)

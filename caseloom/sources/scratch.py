@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Sequence
 from types import TracebackType
@@ -90,12 +91,14 @@ class Scratch:
 
 
 _SESSIONS: dict[str, Scratch] = {}
+_LOCK = threading.Lock()
 
 
 def session_scratch(spark: SparkSession) -> Scratch:
     """The run of a whole application, for tables that returned plans read; they go when it ends."""
     application = spark.sparkContext.applicationId
-    if application not in _SESSIONS:
-        _SESSIONS.clear()
-        _SESSIONS[application] = Scratch(spark, "session")
-    return _SESSIONS[application]
+    with _LOCK:  # plans may run in more than one thread
+        if application not in _SESSIONS:
+            _SESSIONS.clear()
+            _SESSIONS[application] = Scratch(spark, "session")
+        return _SESSIONS[application]

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 import json
+import shutil
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from caseloom import spec
+from caseloom.plans import scoring
 from caseloom.plans.evidence import run_evidence
 from caseloom.plans.scoring import joined_final, prepare, run_scoring
 from caseloom.plans.overview import run_overview
@@ -195,7 +198,7 @@ def test_overview_run(spark, raw_csv, tmp_path):
     assert rates == sorted(rates, reverse=True)
 
 
-def test_scoring_run(spark, raw_csv, tmp_path):
+def test_scoring_run(spark, raw_csv, tmp_path, monkeypatch):
     out = str(tmp_path)
     status = run_scoring(spark, raw_csv, out)
     assert {r.status for r in status.collect()} == {"OK"} and status.count() == 5
@@ -209,6 +212,19 @@ def test_scoring_run(spark, raw_csv, tmp_path):
     used = readers.read_result(spark, f"{out}/evaluation/usable_rows_lr").first()
     assert used.rows_in == used.rows_used and used.bad_label == used.bad_score == "0"
     assert readers.read_result(spark, f"{out}/evaluation/calibration_check_tuning").count() == 1
+    seconds = {p.name: p.stat().st_mtime for p in Path(out, "models").iterdir()}
+    # Lost after the models: what is there is kept, and what comes after is made again.
+    shutil.rmtree(f"{out}/predictions/final_dataset")
+    ran = []
+    for name in ("prepare", "split", "logistic", "forest", "assemble_final", "aggregate_risk"):
+        step = getattr(scoring, name)
+        monkeypatch.setattr(scoring, name, functools.wraps(step)(lambda *a, s=step: (ran.append(s.__name__), s(*a))))
+    run_scoring(spark, raw_csv, out)
+    assert ran == ["assemble_final", "aggregate_risk"]
+    assert seconds == {p.name: p.stat().st_mtime for p in Path(out, "models").iterdir()}
+    run_scoring(spark, raw_csv, out)
+    assert len(ran) == 2
+    final = readers.read_table(spark, f"{out}/predictions/final_dataset")
     results = run_results(spark, out)
     shown = {name: readers.read_result(spark, path).collect() for name, path in results.items()}
     assert sum(float(r.percent) for r in shown["confusion_shares"]) == pytest.approx(100, abs=1e-6)
