@@ -40,6 +40,7 @@ class Scratch:
         self.folder = f"{shared_folder(spark)}/scratch-{label}-{uuid.uuid4().hex}"
         self._tables: dict[int, tuple[DataFrame, str]] = {}
         self._lasting: list[str] = []
+        self._adopted: list[Scratch] = []
         # Should the session end in the middle of a run, the file system removes the folder.
         self._system(self.folder).deleteOnExit(self._path(self.folder))
 
@@ -63,11 +64,18 @@ class Scratch:
         self._lasting.append(self._tables[id(stored)][1])
         return stored
 
+    def adopt(self, run: Scratch) -> None:
+        """Let the lasting tables of an ended run go with this one."""
+        self._adopted.append(run)
+
     def close(self, all: bool = True) -> None:
         """Remove the run's tables; the lasting ones only if `all`."""
-        if all or not self._lasting:
+        if all or not (self._lasting or self._adopted):
             self._delete(self.folder)
             self._lasting = []
+            for run in self._adopted:
+                run.close()
+            self._adopted = []
         else:
             for _, path in self._tables.values():
                 if path not in self._lasting:
