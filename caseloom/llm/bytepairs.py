@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PAIRS_KEPT, PIECES_KEPT, PIECE_LENGTH_KEPT = 1 << 19, 1 << 19, 32
+PAIRS_KEPT, PIECES_KEPT, PIECE_LENGTH_KEPT = 1 << 18, 1 << 18, 24
 TEXT_AT_ONCE, MATCHES_AT_ONCE, BATCH_BYTES = 1 << 18, 1 << 16, 1 << 23
 
 
