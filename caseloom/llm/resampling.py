@@ -147,7 +147,7 @@ def resample(
     run.drop(features)
 
     levels = ["place", "tie", "row"]
-    left, wanted = scores.where("eligible"), None
+    left = scores.where("eligible")
     want = left.count() * percent // 100
     drawn = F.lit(False)
     if want:
@@ -158,9 +158,9 @@ def resample(
             same, want = same & (F.col(level) == value), want - smaller
             left = left.where(F.col(level) == value)
         drawn = drawn | same
-    wanted = ["k", "n_features", "weight", "score"]
-    ranked = number_rows(scores.where(drawn).select(*wanted, *levels), *levels).select(*wanted, F.col("rank").cast("long").alias("rank"))
-    rest = scores.where(~drawn).select(*wanted, F.lit(None).cast("long").alias("rank"))
+    shown = ["k", "n_features", "weight", "score"]
+    ranked = number_rows(scores.where(drawn).select(*shown, *levels), *levels).select(*shown, F.col("rank").cast("long").alias("rank"))
+    rest = scores.where(~drawn).select(*shown, F.lit(None).cast("long").alias("rank"))
     if scratch is None:
         run.close(all=False)
     return ranked.unionByName(rest).withColumnRenamed("k", key)
