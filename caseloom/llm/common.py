@@ -2,35 +2,51 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseloom.sources.scratch import Scratch, session_scratch
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors see; a local one only where the session names none (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return folder or _own_folder()
+_RUN: ContextVar[Scratch | None] = ContextVar("run", default=None)
+
 
+@contextmanager
+def intermediates(spark: SparkSession, label: str) -> Iterator[Scratch]:
+    """A run of its own for an operator: what it stores inside goes when it ends, but for `lasting` tables.
 
-@functools.cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="caseloom-")
+    Those the result reads. They go with the run around this one if there is one, else with the session.
+    """
+    outer, run = _RUN.get(), Scratch(spark, label)
+    mark = _RUN.set(run)
+    try:
+        with run:
+            yield run
+    finally:
+        _RUN.reset(mark)
+    if outer is not None:
+        outer.adopt(run)
 
 
 def store(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it again: cuts lineage, and outlives executors."""
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return (_RUN.get() or session_scratch(spark)).keep(df, label)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more, where a run owns them."""
+    run = _RUN.get()
+    if run is not None:
+        run.drop(*tables)
 
 
 def lower_ascii(column):

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix64, roll, store
+from .common import drop, intermediates, mix64, roll, store
 
 CELLS = 1 << 18
 
@@ -78,6 +78,13 @@ def jaccard_components(
     columns are ignored.
     """
 
+    with intermediates(spark, "jaccard") as run:
+        return run.lasting(_components_of(spark, docs, key, text, n, percent, chunk), "jac-result")
+
+
+def _components_of(
+    spark: SparkSession, docs: DataFrame, key: str, text: str, n: int, percent: int, chunk: int
+) -> DataFrame:
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sketch = np.zeros(CELLS, np.int64)
         for b in batches:
@@ -125,21 +132,23 @@ def jaccard_components(
                     }
                 )
 
-    posts = store(spark, keyed.mapInPandas(prefixes, "token long, c long, n int"), "jac-prefixes")
+    heads = store(spark, keyed.mapInPandas(prefixes, "token long, c long, n int"), "jac-prefixes")
     # Only shingles in two lists or more can join anything.
     first = F.min(F.struct("c", "n"))
-    hubs = posts.groupBy("token").agg(first.alias("first"), F.max("c").alias("last")).where("first.c < last")
+    hubs = heads.groupBy("token").agg(first.alias("first"), F.max("c").alias("last")).where("first.c < last")
     hubs = store(spark, hubs.select("token", F.col("first.c").alias("hub"), F.col("first.n").alias("hub_n")), "jac-hubs")
-    posts = store(spark, _meet(posts, hubs), "jac-posts")
+    posts = store(spark, _meet(heads, hubs), "jac-posts")
+    drop(heads, hubs)
     # What a star leaves out here is found between components.
     fits = F.expr(f"least(n, hub_n) * 100L >= greatest(n, hub_n) * {percent}L")
     stars = posts.where(F.col("c") != F.col("hub")).where(fits).groupBy("hub", "c").agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("n"), F.first("hub_n").alias("hub_n"))
     stars = stars.where(F.col("common") >= _shared_least(F.col("n"), F.col("hub_n"), percent)).select(F.col("hub").alias("a"), F.col("c").alias("b"))
-    posts = posts.select("token", "c", "n")
-    linked = store(spark, _verify(spark, keyed, stars, n, percent), "jac-stars")
+    linked = _verify(spark, keyed, stars, n, percent)
     comps = components(spark, linked)
-    grouped = store(spark, _groups(posts, linked, comps, chunk), "jac-groups")
-    more = store(spark, _cross(spark, keyed, posts, grouped, n, percent), "jac-cross")
+    lists = posts.select("token", "c", "n")
+    grouped = store(spark, _groups(lists, linked, comps, chunk), "jac-groups")
+    more = _cross(spark, keyed, lists, grouped, n, percent)
+    drop(posts)
     final = components(spark, linked.unionByName(more)).select(F.col("v").alias("c"), F.col("comp"))
     by_class = classes.join(final, "c", "left").select("digest", F.coalesce("comp", "c").alias("comp"))
     # Classes are joined back by digest and salt, so that a class with a third of all rows is spread.
@@ -199,7 +208,10 @@ def _verify(spark: SparkSession, keyed: DataFrame, pairs: DataFrame, n: int, per
     common = F.size(F.array_intersect("sa", "sb")).cast("long")
     size = (F.size("sa") + F.size("sb")).cast("long")
     longer, shorter = F.greatest(F.size("sa"), F.size("sb")), F.least(F.size("sa"), F.size("sb"))
-    return both.where((shorter * 100 >= longer * percent) & (common * 100 >= (size - common) * percent)).select("a", "b").distinct()
+    links = both.where((shorter * 100 >= longer * percent) & (common * 100 >= (size - common) * percent)).select("a", "b").distinct()
+    links = store(spark, links, "jac-links")
+    drop(pairs, of_b, of_a)
+    return links
 
 
 def _groups(posts: DataFrame, linked: DataFrame, comps: DataFrame, chunk: int) -> DataFrame:
@@ -236,7 +248,8 @@ def _cross(spark: SparkSession, keyed: DataFrame, posts: DataFrame, grouped: Dat
     asks = store(spark, asks.where(F.col("common") >= least - 1).select("c", "grp").distinct(), "jac-asks")
     members = grouped.join(asks.select("grp").distinct(), "grp", "left_semi").select("c", "grp")
     ids = members.select(F.col("c").alias("k")).union(asks.select(F.col("c").alias("k"))).distinct()
-    known = store(spark, _sets(keyed, store(spark, ids, "jac-ids"), n, ""), "jac-sets")
+    ids = store(spark, ids, "jac-ids")
+    known = store(spark, _sets(keyed, ids, n, ""), "jac-sets")
     unions = members.join(known, "c").groupBy("grp").agg(F.array_distinct(F.flatten(F.collect_list("s"))).alias("u"))
     opened = (
         asks.join(known, "c")
@@ -245,14 +258,16 @@ def _cross(spark: SparkSession, keyed: DataFrame, posts: DataFrame, grouped: Dat
         .select("c", "grp")
     )
     pairs = opened.withColumnRenamed("c", "q").join(members, "grp").select(F.col("c").alias("a"), F.col("q").alias("b")).distinct()
-    return _verify(spark, keyed, pairs.where("a <> b"), n, percent)
+    links = _verify(spark, keyed, pairs.where("a <> b"), n, percent)
+    drop(tagged, asks, ids, known)
+    return links
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """v, comp: smallest vertex reachable, by rounds of neighbour minimum and pointer jumping."""
     both = edges.select(F.col("a").alias("v"), F.col("b").alias("w")).union(edges.select(F.col("b"), F.col("a")))
     both = store(spark, both.distinct(), "cc-edges")
-    state = store(spark, both.groupBy("v").agg(F.least(F.min("w"), F.first("v")).alias("comp")), "cc-state")
+    state = kept = store(spark, both.groupBy("v").agg(F.least(F.min("w"), F.first("v")).alias("comp")), "cc-state")
     while True:
         near = both.join(state.select(F.col("v").alias("w"), F.col("comp").alias("near")), "w").groupBy("v").agg(F.min("near").alias("near"))
         step = state.join(near, "v").select("v", "comp", F.least("comp", "near").alias("next"))
@@ -260,6 +275,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         new = step.join(jump, "next", "left").select("v", "comp", F.least("next", "far").alias("next"))
         new = store(spark, new, "cc-state")
         moved = new.where("comp <> next").limit(1).count()
-        state = new.select("v", F.col("next").alias("comp"))
+        drop(kept)
+        state, kept = new.select("v", F.col("next").alias("comp")), new
         if not moved:
+            drop(both)
             return state
