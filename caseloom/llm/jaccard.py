@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import drop, intermediates, mix64, roll, store
-
-CELLS = 1 << 18
+from .common import drop, intermediates, roll, store
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -60,95 +58,58 @@ def jaccard_components(
     n: int = 5,
     percent: int = 75,
     chunk: int = 128,
+    share: float = 0.28,
+    rounds: int = 3,
 ) -> DataFrame:
     """Per document: key, n_shingles, component_id (smallest key reachable by links, itself included).
 
     1. Texts with the same word sequence become one class.
-    2. Shingles are ordered by the count in a sketch of fixed size over all documents, rare first. Two sets that link share
-       one of each other's first n - ceil(0.75 n) + 1 shingles (the prefix), whatever the order.
-    3. In the posting list of a prefix shingle the smallest class is its hub; each class is compared with
-       its hubs, which joins copies by stars, not by pairs.
+    2. One order holds for all shingles: those of a fixed `share` of the hash range first, by the exact number of classes that
+       hold them, then the rest by hash. Two sets that link share one of each other's first n - ceil(0.75 n) + 1 shingles
+       (the prefix), whatever the order. Shingles of one class come first and join nothing, so a text without
+       near copies has few or no others in its prefix. Only the share, and what a prefix needs beyond it, is counted.
+    3. In the posting list of a prefix shingle one class is the hub; each class of another component is compared with
+       its hubs, which joins copies by stars, not by pairs. This is done `rounds` times with other hubs; lists that
+       lie in one component are done.
     4. Classes that a star has joined form groups of at most `chunk` (more are split by hash). Each group
        stores the union of its members' shingles. A class of another component that shares a prefix
        shingle with a group has its overlap with the union counted; only groups that reach
        ceil(0.75 n) are opened and their members compared. All links between components are found.
 
+    Classes meet under the first 64 of their 128 bits; two texts that agree there and link with each other alone are lost.
+
     Null and empty texts have no shingles and are alone. Null keys give rows of their own with a null
     component and link nothing. Repeated keys are rows of their own. Empty tables give no rows; extra
-    columns are ignored.
+    columns are ignored. Texts of any length are read whole.
     """
 
     with intermediates(spark, "jaccard") as run:
-        return run.lasting(_components_of(spark, docs, key, text, n, percent, chunk), "jac-result")
+        return run.lasting(_components_of(spark, docs, key, text, n, percent, chunk, share, rounds), "jac-result")
 
 
 def _components_of(
-    spark: SparkSession, docs: DataFrame, key: str, text: str, n: int, percent: int, chunk: int
+    spark: SparkSession, docs: DataFrame, key: str, text: str, n: int, percent: int, chunk: int, share: float, rounds: int
 ) -> DataFrame:
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sketch = np.zeros(CELLS, np.int64)
-        for b in batches:
-            cls, sizes = [], []
-            for t in b["t"]:
-                words = words_of(t)
-                own = shingles(words, n)
-                cls.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
-                sizes.append(len(own))
-                sketch[np.unique((own % np.uint64(CELLS)).astype(np.int64))] += 1
-            yield pd.DataFrame({"k": b["k"].astype("Int64"), "digest": cls, "n": sizes, "cell": None, "count": None}, dtype=object)
-        at = np.flatnonzero(sketch)
-        yield pd.DataFrame({"k": None, "digest": None, "n": None, "cell": at, "count": sketch[at]}, dtype=object)
-
-    # One pass over the texts gives a row per document and, at a task's end, the counts of its sketch.
     given = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
-    measured = store(spark, given.mapInPandas(measure, "k long, digest binary, n long, cell int, count long"), "jac-rows")
-    rows = measured.where("cell IS NULL").select("k", "digest", "n")
-    classes = rows.where("digest IS NOT NULL AND k IS NOT NULL").groupBy("digest").agg(F.min("k").alias("c"))
-    classes = store(spark, classes, "jac-classes")
-    # One text per class; a repeated key with several texts keeps each of them, told apart by digest.
-    keyed = given.where("k IS NOT NULL").join(classes.select(F.col("c").alias("k")).distinct(), "k", "left_semi")
-    # At most CELLS rows, packed.
-    cells = measured.where("cell IS NOT NULL").groupBy("cell").agg(F.sum("count").alias("count")).toArrow()
-    counts = np.zeros(CELLS, np.int64)
-    counts[cells["cell"].to_numpy()] = cells["count"].to_numpy()
-    shared = spark.sparkContext.broadcast(counts)
-
-    def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            keys, sizes, heads = [], [], []
-            for k, t in zip(b["k"], b["t"]):
-                s = shingle_set(t, n)
-                if len(s):
-                    keys.append(k)
-                    sizes.append(len(s))
-                    heads.append(prefix(s, shared.value, percent))
-            if heads:
-                lengths = [len(h) for h in heads]
-                yield pd.DataFrame(
-                    {
-                        "token": np.concatenate(heads).astype(np.int64),
-                        "c": np.repeat(np.array(keys, np.int64), lengths),
-                        "n": np.repeat(np.array(sizes, np.int32), lengths),
-                    }
-                )
-
-    heads = store(spark, keyed.mapInPandas(prefixes, "token long, c long, n int"), "jac-prefixes")
-    # Only shingles in two lists or more can join anything.
-    first = F.min(F.struct("c", "n"))
-    hubs = heads.groupBy("token").agg(first.alias("first"), F.max("c").alias("last")).where("first.c < last")
-    hubs = store(spark, hubs.select("token", F.col("first.c").alias("hub"), F.col("first.n").alias("hub_n")), "jac-hubs")
-    posts = store(spark, _meet(heads, hubs), "jac-posts")
-    drop(heads, hubs)
-    # What a star leaves out here is found between components.
-    fits = F.expr(f"least(n, hub_n) * 100L >= greatest(n, hub_n) * {percent}L")
-    stars = posts.where(F.col("c") != F.col("hub")).where(fits).groupBy("hub", "c").agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("n"), F.first("hub_n").alias("hub_n"))
-    stars = stars.where(F.col("common") >= _shared_least(F.col("n"), F.col("hub_n"), percent)).select(F.col("hub").alias("a"), F.col("c").alias("b"))
-    linked = _verify(spark, keyed, stars, n, percent)
-    comps = components(spark, linked)
-    lists = posts.select("token", "c", "n")
-    grouped = store(spark, _groups(lists, linked, comps, chunk), "jac-groups")
-    more = _cross(spark, keyed, lists, grouped, n, percent)
-    drop(posts)
+    bound = int(share * 2**64) - 2**63
+    measured = store(spark, given.mapInArrow(_measure(n, percent, bound), MEASURED), "jac-rows")
+    rows = measured.where("token IS NULL").select("k", "digest", "n")
+    classes = measured.where("digest IS NOT NULL AND k IS NOT NULL").groupBy("digest")
+    classes = store(spark, classes.agg(F.min("k").alias("c"), *[F.first(x).alias(x) for x in ("d", "n", "extra")]), "jac-classes")
+    posts = _prefixes(spark, measured.where("token IS NOT NULL").select("token", "d"), classes, bound)
+    linked = spark.createDataFrame([], "a long, b long")
+    known, comps = None, None
+    for turn in range(rounds):
+        posts = _unsettled(spark, posts, comps)
+        if known is None:
+            known = _sets(spark, given, classes, posts.select("c").distinct(), n)
+        found = _verify(spark, known, _stars(posts, turn, percent), percent)
+        linked = linked.unionByName(found)
+        comps = components(spark, linked)
+    posts = _unsettled(spark, posts, comps)
+    grouped = store(spark, _groups(posts, linked, chunk), "jac-groups")
+    more = _cross(spark, known, posts, grouped, percent)
+    drop(posts, known)
     final = components(spark, linked.unionByName(more)).select(F.col("v").alias("c"), F.col("comp"))
     by_class = classes.join(final, "c", "left").select("digest", F.coalesce("comp", "c").alias("comp"))
     # Classes are joined back by digest and salt, so that a class with a third of all rows is spread.
@@ -157,81 +118,166 @@ def _components_of(
     return (
         rows.withColumn("salt", F.pmod(F.xxhash64("k"), F.lit(salts)).cast("int"))
         .join(spread, ["digest", "salt"], "left")
-        .select(F.col("k").alias(key), F.col("n").alias("n_shingles"), F.coalesce("comp", "k").alias("component_id"))
+        .select(F.col("k").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("k").isNotNull(), F.coalesce("comp", "k")).alias("component_id"))
     )
 
 
-def prefix(s: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
-    """The first shingles of a sorted set, rare cells first, then by hash; equal places fall back on the value."""
-    cell = np.minimum(counts[(s % np.uint64(CELLS)).astype(np.int64)], (1 << 24) - 1).astype(np.uint64)
-    place = (cell << np.uint64(40)) | (mix64(s) >> np.uint64(24))
-    return s[np.argsort(place, kind="stable")[: len(s) - least_overlap(len(s), percent) + 1]]
+MEASURED = "k long, digest binary, n long, extra long, d long, token long"
 
 
-def _shared_least(x: Column, y: Column, percent: int) -> Column:
-    """Fewest common prefix shingles that sets of sizes x and y need to link.
+def _measure(n: int, percent: int, bound: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One pass over the texts: a row per document, and a row per posted shingle with the class's short digest."""
+    names = [c.split()[0] for c in MEASURED.split(", ")]
 
-    Up to the end of the prefix that ends first, all common shingles are in both prefixes; after it that
-    set has ceil(percent x) - 1 left, and a link needs percent / (100 + percent) of x + y in common.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, digests, sizes, extras, shorts, lists = [], [], [], [], [], []
+            for k, t in zip(batch["k"].to_pylist(), batch["t"].to_pylist()):
+                words = words_of(t)
+                own = shingles(words, n)
+                digest = xxhash.xxh3_128_digest(b" ".join(words)) if words else None
+                keys.append(k)
+                digests.append(digest)
+                sizes.append(len(own))
+                heads, extra = posted(own.view(np.int64), percent, bound)
+                extras.append(extra)
+                shorts.append(int.from_bytes(digest[:8], "little", signed=True) if digest else None)
+                if digest and k is not None:
+                    lists.append((shorts[-1], heads))
+            ints = [pa.array(x, pa.int64()) for x in (keys, sizes, extras, shorts)]
+            columns = [ints[0], pa.array(digests, pa.binary()), ints[1], ints[2], ints[3], pa.nulls(len(keys), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names)
+            if lists:
+                tokens = np.concatenate([h for _, h in lists])
+                owners = np.repeat(np.array([d for d, _ in lists], np.int64), [len(h) for _, h in lists])
+                none = pa.nulls(len(tokens), pa.int64())
+                columns = [none, pa.nulls(len(tokens), pa.binary()), none, none, pa.array(owners), pa.array(tokens)]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return run
+
+
+def posted(own: np.ndarray, percent: int, bound: int) -> tuple[np.ndarray, int]:
+    """The shingles of a set that are counted, and by how many they are more than its prefix.
+
+    All below the bound; where these are fewer than the prefix, also the smallest others that fill it.
     """
-    need = F.ceil((x + y) * percent / (100 + percent) - 1e-9)
-    return need - F.ceil(F.greatest(x, y) * percent / 100) + 1
+    inside = own < bound
+    heads, need = own[inside], len(own) - least_overlap(len(own), percent) + 1 if len(own) else 0
+    if len(heads) < need:
+        heads = np.append(heads, np.sort(own[~inside])[: need - len(heads)])
+    return heads, len(heads) - need
 
 
-def _meet(posts: DataFrame, hubs: DataFrame) -> DataFrame:
-    return posts.join(hubs, "token").select("token", "c", "n", "hub", "hub_n")
+def _prefixes(spark: SparkSession, heads: DataFrame, classes: DataFrame, bound: int) -> DataFrame:
+    """token, c, n: the shingles of each class's prefix that another class holds as well.
 
+    Shingles of one row, most of them, go by a count that folds to a number; the rest lose repeats by exact
+    copies and are counted again by classes.
+    """
+    often = heads.groupBy("token").count().where("count > 1").select("token")
+    met = store(spark, heads.join(often, "token"), "jac-met")
+    once = store(spark, met.distinct(), "jac-once")
+    drop(met)
+    held = once.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # Stored, so that Spark splits a list that many classes hold before they are sorted by class.
+    counted = store(spark, once.join(held, "token"), "jac-counted")
+    by_class = counted.join(classes.select("d", "c", "n", "extra"), "d")
+    # A window's rows are shingles of one text. Those of one class stand before these; `extra` of all stand behind the prefix.
+    text = Window.partitionBy("c", "d")
+    order = text.orderBy(F.col("token") >= F.lit(bound), "df", "token")
+    placed = by_class.select(
+        "token", "c", "n", "extra", F.row_number().over(order).alias("place"), F.count(F.lit(1)).over(text).alias("m")
+    )
+    posts = store(spark, placed.where("place <= m - extra").select("token", "c", "n"), "jac-posts")
+    drop(once, counted)
+    return posts
+
+
+def _unsettled(spark: SparkSession, posts: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """token, c, n, comp: the lists whose classes are not all in one component. Takes the place of `posts`."""
+    if comps is None:
+        tagged = posts.select("token", "c", "n", F.col("c").alias("comp"))
+    else:
+        tagged = posts.select("token", "c", "n").join(comps.select(F.col("v").alias("c"), "comp"), "c", "left")
+        tagged = tagged.withColumn("comp", F.coalesce("comp", "c"))
+    mixed = tagged.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
+    left = store(spark, tagged.join(mixed, "token", "left_semi"), "jac-lists")
+    drop(posts)
+    return left
 
-def _sets(keyed: DataFrame, wanted: DataFrame, n: int, carry: str) -> DataFrame:
-    """c, s (its shingles) and the columns of `wanted` for each class k there. `carry` is their schema."""
-    names = [c.split()[0] for c in carry.split(", ")] if carry else []
-
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = {"c": b["k"], "s": [shingle_set(t, n).astype(np.int64) for t in b["t"]]}
-            yield pd.DataFrame(rows | {name: b[name] for name in names})
 
-    return keyed.join(wanted, "k").mapInPandas(sets, "c long, s array<long>" + (", " + carry if carry else ""))
+def _stars(posts: DataFrame, turn: int, percent: int) -> DataFrame:
+    """a, b: each class with the hub of its lists, where the hub is of another component. What stars leave out is found between components."""
+    first = F.min(F.struct(F.xxhash64("c", F.lit(turn)).alias("h"), "c", "n", "comp"))
+    hubs = posts.groupBy("token").agg(first.alias("hub"))
+    hubs = hubs.select("token", F.col("hub.c").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.comp").alias("hub_comp"))
+    met = posts.join(hubs, "token").where("comp <> hub_comp")
+    met = met.where(F.expr(f"least(n, hub_n) * 100L >= greatest(n, hub_n) * {percent}L"))
+    stars = met.groupBy("hub", "c", "n", "hub_n").agg(F.count(F.lit(1)).alias("common"))
+    stars = stars.where(F.col("common") >= _shared_least(F.col("n"), F.col("hub_n"), percent))
+    return stars.select(F.col("hub").alias("a"), F.col("c").alias("b"))
 
 
-def _verify(spark: SparkSession, keyed: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets link. Only texts of some pair are read; b's set goes to each of its a's.
+def _shared_least(x: Column, y: Column, percent: int) -> Column:
+    """Fewest common prefix shingles that sets of sizes x and y need to link.
 
-    What is wanted is written first, so that Spark knows its size when it chooses the join.
+    Up to the end of the prefix that ends first, all common shingles are in both prefixes; after it that
+    set has ceil(percent x) - 1 left, and a link needs percent / (100 + percent) of x + y in common.
     """
+    need = F.ceil((x + y) * percent / (100 + percent) - 1e-9)
+    return need - F.ceil(F.greatest(x, y) * percent / 100) + 1
+
+
+def _sets(spark: SparkSession, given: DataFrame, classes: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """c, s: the shingles of each wanted class. A repeated key with several texts gives the sets of all of them, so texts are told apart by digest."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, found = [], []
+            for k, t, digest in zip(*(batch[x].to_pylist() for x in ("k", "t", "digest"))):
+                words = words_of(t)
+                if words and xxhash.xxh3_128_digest(b" ".join(words)) == digest:
+                    kept.append(k)
+                    found.append(shingles(words, n).view(np.int64))
+            lengths = np.cumsum([0] + [len(s) for s in found]).astype(np.int32)
+            flat = np.concatenate(found) if found else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat))], ["c", "s"])
+
+    # Written first, so that Spark knows their size when it chooses the join.
+    asked = store(spark, classes.join(wanted, "c").select(F.col("c").alias("k"), "digest"), "jac-wanted")
+    texts = given.join(asked, "k").distinct()  # a row may be repeated as a whole
+    known = store(spark, texts.mapInArrow(sets, "c long, s array<long>"), "jac-sets")
+    drop(asked)
+    return known
+
+
+def _verify(spark: SparkSession, known: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets link. Pairs are written first, so that Spark knows their number when it chooses the joins."""
     pairs = store(spark, pairs, "jac-pairs")
-    of_b = store(spark, pairs.groupBy(F.col("b").alias("k")).agg(F.collect_list("a").alias("hubs")), "jac-ask-b")
-    of_a = store(spark, pairs.select(F.col("a").alias("k")).distinct(), "jac-ask-a")
-    right = _sets(keyed, of_b, n, "hubs array<long>").select(F.explode("hubs").alias("a"), F.col("c").alias("b"), F.col("s").alias("sb"))
-    left = _sets(keyed, of_a, n, "").select(F.col("c").alias("a"), F.col("s").alias("sa"))
-    both = right.join(left, "a")
+    both = pairs.join(known.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b").join(
+        known.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a"
+    )
     common = F.size(F.array_intersect("sa", "sb")).cast("long")
     size = (F.size("sa") + F.size("sb")).cast("long")
-    longer, shorter = F.greatest(F.size("sa"), F.size("sb")), F.least(F.size("sa"), F.size("sb"))
-    links = both.where((shorter * 100 >= longer * percent) & (common * 100 >= (size - common) * percent)).select("a", "b").distinct()
+    links = both.where(common * 100 >= (size - common) * percent).select("a", "b")
     links = store(spark, links, "jac-links")
-    drop(pairs, of_b, of_a)
+    drop(pairs)
     return links
 
 
-def _groups(posts: DataFrame, linked: DataFrame, comps: DataFrame, chunk: int) -> DataFrame:
+def _groups(posts: DataFrame, linked: DataFrame, chunk: int) -> DataFrame:
     """c, comp, grp: members of a star share a group, split by hash when there are more than `chunk`."""
     star = linked.groupBy(F.col("b").alias("c")).agg(F.min("a").alias("hub"))
-    every = posts.select("c").distinct().join(star, "c", "left").withColumn("hub", F.coalesce("hub", "c"))
+    every = posts.select("c", "comp").distinct().join(star, "c", "left").withColumn("hub", F.coalesce("hub", "c"))
+    # A class that is a hub for others may have one of its own in another round; either group is of its component.
     parts = every.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / chunk).alias("parts"))
-    return (
-        every.join(parts, "hub")
-        .withColumn("grp", F.xxhash64("hub", F.pmod(F.xxhash64("c"), F.col("parts"))))
-        .join(comps.select(F.col("v").alias("c"), "comp"), "c", "left")
-        .select("c", "grp", F.coalesce("comp", "c").alias("comp"))
-    )
+    return every.join(parts, "hub").select("c", "comp", F.xxhash64("hub", F.pmod(F.xxhash64("c"), F.col("parts"))).alias("grp"))
 
 
-def _cross(spark: SparkSession, keyed: DataFrame, posts: DataFrame, grouped: DataFrame, n: int, percent: int) -> DataFrame:
+def _cross(spark: SparkSession, known: DataFrame, posts: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
     """Links between components: query classes against group unions, then members of opened groups."""
-    tagged = posts.join(grouped, "c")
-    mixed = tagged.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
-    tagged = store(spark, tagged.join(mixed, "token", "left_semi"), "jac-mixed")
+    tagged = store(spark, posts.join(grouped.select("c", "grp"), "c"), "jac-mixed")
     by_group = tagged.groupBy("token", "grp", "comp").agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi"))
     # The larger component queries the smaller; either side of a link is enough.
     asks = (
@@ -247,19 +293,19 @@ def _cross(spark: SparkSession, keyed: DataFrame, posts: DataFrame, grouped: Dat
     least = F.least(_shared_least(F.col("n"), low, percent), _shared_least(F.col("n"), high, percent))
     asks = store(spark, asks.where(F.col("common") >= least - 1).select("c", "grp").distinct(), "jac-asks")
     members = grouped.join(asks.select("grp").distinct(), "grp", "left_semi").select("c", "grp")
-    ids = members.select(F.col("c").alias("k")).union(asks.select(F.col("c").alias("k"))).distinct()
-    ids = store(spark, ids, "jac-ids")
-    known = store(spark, _sets(keyed, ids, n, ""), "jac-sets")
     unions = members.join(known, "c").groupBy("grp").agg(F.array_distinct(F.flatten(F.collect_list("s"))).alias("u"))
     opened = (
         asks.join(known, "c")
         .join(unions, "grp")
         .where(F.size(F.array_intersect("s", "u")) * 100 >= F.size("s") * percent)
-        .select("c", "grp")
+        .select(F.col("c").alias("b"), "grp")
     )
-    pairs = opened.withColumnRenamed("c", "q").join(members, "grp").select(F.col("c").alias("a"), F.col("q").alias("b")).distinct()
-    links = _verify(spark, keyed, pairs.where("a <> b"), n, percent)
-    drop(tagged, asks, ids, known)
+    sizes = known.select("c", F.size("s").alias("n"))
+    pairs = opened.join(sizes.select(F.col("c").alias("b"), F.col("n").alias("nb")), "b").join(members.withColumnRenamed("c", "a"), "grp")
+    pairs = pairs.join(sizes.select(F.col("c").alias("a"), F.col("n").alias("na")), "a")
+    pairs = pairs.where(F.expr(f"a <> b AND least(na, nb) * 100L >= greatest(na, nb) * {percent}L")).select("a", "b").distinct()
+    links = _verify(spark, known, pairs, percent)
+    drop(tagged, asks)
     return links
 
 

@@ -12,7 +12,6 @@ FOLDER = Path(queries.__file__).parent
 #: Calls that bring rows to the driver, each bounded by a documented parameter or by a fixed size.
 BOUNDED = {
     "decontam.py": "one block of benchmark items of 16 MB",
-    "jaccard.py": "the most frequent shingles, and some dozens of counts",
     "neighbours.py": "the rows that fit the forest, and the probing queries",
     "secrets.py": "labelled examples up to their number of symbols",
     "toxicity.py": "labelled rows up to their number",

@@ -255,3 +255,15 @@ def test_toxicity_reads_words_to_their_end(spark):
         patch.setattr(frame, "toPandas", lambda df: taken.append(collect(df)) or taken[-1])
         train_toxicity(repeated, labels)
     assert len(taken[0]) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(400))
+
+
+def test_jaccard_awkward_rows(spark):
+    """Repeated ids and rows, null ids, ties, clashing columns, one very long text, and no rows at all."""
+    long = " ".join(f"v{i}" for i in range(40_000))
+    near = long.replace("v7 ", "z ")
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "q r s"), (2, "Q r  s"), (None, "a b c d e f"), (3, long), (4, near), (5, ""), (6, None)]
+    table = spark.createDataFrame([(*r, 7, 8, 9) for r in rows], "doc_id long, text string, token long, comp long, digest long")
+    got = sorted(tuple(-1 if x is None else x for x in r) for r in jaccard_components(spark, table).select("doc_id", "n_shingles", "component_id").collect())
+    n = 40_000 - 4
+    assert got == [(-1, 2, -1), (1, 1, 1), (1, 2, 1), (1, 2, 1), (2, 1, 1), (3, n, 3), (4, n, 3), (5, 0, 5), (6, 0, 6)]
+    assert jaccard_components(spark, table.limit(0)).count() == 0
