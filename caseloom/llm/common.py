@@ -37,9 +37,21 @@ def intermediates(spark: SparkSession, label: str) -> Iterator[Scratch]:
         outer.adopt(run)
 
 
+#: Spark's setting that removes the shuffle files of a finished query; it is set for the writes of `store` alone.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def store(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """Write `df` to the shared folder and read it again: cuts lineage, and outlives executors."""
-    return (_RUN.get() or session_scratch(spark)).keep(df, label)
+    """Write `df` to the shared folder and read it again: cuts lineage, and outlives executors.
+
+    Nothing else reads the shuffles of the write, so Spark may remove their files as soon as it ends.
+    """
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        return (_RUN.get() or session_scratch(spark)).keep(df, label)
+    finally:
+        spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
 
 
 def drop(*tables: DataFrame) -> None:

@@ -59,7 +59,7 @@ def jaccard_components(
     percent: int = 75,
     chunk: int = 128,
     share: float = 0.28,
-    rounds: int = 3,
+    rounds: int = 2,
 ) -> DataFrame:
     """Per document: key, n_shingles, component_id (smallest key reachable by links, itself included).
 
@@ -69,7 +69,7 @@ def jaccard_components(
        (the prefix), whatever the order. Shingles of one class come first and join nothing, so a text without
        near copies has few or no others in its prefix. Only the share, and what a prefix needs beyond it, is counted.
     3. In the posting list of a prefix shingle one class is the hub; each class of another component is compared with
-       its hubs, which joins copies by stars, not by pairs. This is done `rounds` times with other hubs; lists that
+       that of its hubs that shares most of its prefix, which joins copies by stars, not by pairs. This is done `rounds` times with other hubs; lists that
        lie in one component are done.
     4. Classes that a star has joined form groups of at most `chunk` (more are split by hash). Each group
        stores the union of its members' shingles. A class of another component that shares a prefix
@@ -93,10 +93,11 @@ def _components_of(
     given = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
     bound = int(share * 2**64) - 2**63
     measured = store(spark, given.mapInArrow(_measure(n, percent, bound), MEASURED), "jac-rows")
-    rows = measured.where("token IS NULL").select("k", "digest", "n")
+    rows = store(spark, measured.where("token IS NULL").select("k", "digest", "n"), "jac-documents")
     classes = measured.where("digest IS NOT NULL AND k IS NOT NULL").groupBy("digest")
     classes = store(spark, classes.agg(F.min("k").alias("c"), *[F.first(x).alias(x) for x in ("d", "n", "extra")]), "jac-classes")
     posts = _prefixes(spark, measured.where("token IS NOT NULL").select("token", "d"), classes, bound)
+    drop(measured)
     linked = spark.createDataFrame([], "a long, b long")
     known, comps = None, None
     for turn in range(rounds):
@@ -208,7 +209,7 @@ def _unsettled(spark: SparkSession, posts: DataFrame, comps: DataFrame | None) -
 
 
 def _stars(posts: DataFrame, turn: int, percent: int) -> DataFrame:
-    """a, b: each class with the hub of its lists, where the hub is of another component. What stars leave out is found between components."""
+    """a, b: each class with the best hub of another component in its lists. What stars leave out is found between components."""
     first = F.min(F.struct(F.xxhash64("c", F.lit(turn)).alias("h"), "c", "n", "comp"))
     hubs = posts.groupBy("token").agg(first.alias("hub"))
     hubs = hubs.select("token", F.col("hub.c").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.comp").alias("hub_comp"))
@@ -216,7 +217,8 @@ def _stars(posts: DataFrame, turn: int, percent: int) -> DataFrame:
     met = met.where(F.expr(f"least(n, hub_n) * 100L >= greatest(n, hub_n) * {percent}L"))
     stars = met.groupBy("hub", "c", "n", "hub_n").agg(F.count(F.lit(1)).alias("common"))
     stars = stars.where(F.col("common") >= _shared_least(F.col("n"), F.col("hub_n"), percent))
-    return stars.select(F.col("hub").alias("a"), F.col("c").alias("b"))
+    best = stars.groupBy(F.col("c").alias("b")).agg(F.max(F.struct("common", "hub")).alias("best"))
+    return best.select(F.col("best.hub").alias("a"), "b")
 
 
 def _shared_least(x: Column, y: Column, percent: int) -> Column:
