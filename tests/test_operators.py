@@ -328,3 +328,18 @@ def test_final_table_reports_lost_keys(spark):
     assert [(r.row_id, r.lr_prob_calibrated, r.rf_prob) for r in final.collect()] == [(1, 0.1, 0.2)]
     lost = {r.input: r.rows_lost for r in artifact.key_loss({"banded": banded, "other": other}, final).collect()}
     assert lost == {"banded": 1, "other": 0}
+
+
+def test_means_do_not_depend_on_the_order_of_rows(spark):
+    # 80 values with the exact mean 5.80625; as doubles their sum is 464.5 in some orders and less in others.
+    values = [5.9] * 27 + [5.6] * 20 + [6.2] * 13 + [4.7] * 6 + [7.1] * 6 + [5.3] * 6 + [5.2, 4.8]
+    assert len(values) == 80 and sum(round(10 * v) for v in values) == 4645
+    rng, seen = random.Random(5), set()
+    for _ in range(6):
+        rng.shuffle(values)
+        rows = [encounter(hbA1c_level=v, bmi=v, blood_glucose_level=v) for v in values]
+        for width in (1, 7):
+            seen |= {tuple(r) for r in cohorts.comorbidity_profile(typed_rows(spark, *rows).repartition(width)).collect()}
+    assert len(seen) == 1 and {r[4] for r in seen} == {5.8063}
+    odd = typed_rows(spark, encounter(bmi=1e300), encounter(bmi=3e300), encounter(bmi=float("inf"), heart_disease=1))
+    assert [r.mean_bmi for r in cohorts.comorbidity_profile(odd).collect()] == [2e300, float("inf")]
