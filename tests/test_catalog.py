@@ -135,3 +135,17 @@ def test_library_keeps_data_off_the_driver():
         text = path.read_text()
         for word in ("toPandas", ".collect()", "localCheckpoint", "crossJoin", "applyInPandas", "@udf", ".rdd"):
             assert word not in text, f"{word} in {path.name}"
+
+
+@pytest.mark.parametrize("name", ["comorbidity_profile", "yearly_summary", "bmi_bucket_summary", "validity_filter_strict", "dropped_rows"])
+def test_filtered_columns_are_parsed_once(spark, folder, name):
+    text = plan(CATALOG[name](spark, folder))
+    assert "regexp_extract" not in text and "/scratch-" in text
+
+
+def test_raw_columns_bring_only_their_joins(spark, folder):
+    some = raw_encounters(spark, folder, ["bmi", "race:Other"])
+    assert some.columns == ["row_id", "bmi", "race:Other"] and count(plan(some), "FileScan") == 2
+    whole = raw_encounters(spark, folder).select("row_id", "bmi", F.col("`race:Other`"))
+    assert some.exceptAll(whole).count() == whole.exceptAll(some).count() == 0
+    assert raw_encounters(spark, folder, ["location"]).exceptAll(raw_encounters(spark, folder).select("row_id", "location")).count() == 0
