@@ -221,6 +221,24 @@ def test_main_text(spark):
     assert got == {1: ("A&B c d e", 9), 2: ("", 0), 3: ("", 0)}
 
 
+def test_template_is_deduced_in_articles_too(spark):
+    """Fixed text goes whether an article element is there or not; an article that most pages carry stays."""
+    def page(tag, *paragraphs):
+        return f"<body><div><p>Site title</p></div><{tag}><p>Read on any device</p><div>{''.join(f'<p>{p}</p>' for p in paragraphs)}</div></{tag}></body>"
+
+    same, given, expected = ["Carried by many.", "Twice over."], [], {}
+    for host, tag, copies in (("a", "article", 0), ("b", "section", 0), ("c", "article", 7), ("d", "section", 7)):
+        for i in range(10):
+            text = same if i < copies else [f"Own text {i} of {host}.", f"More {i}.", *["Thanks."] * (i % 3 > 0)]
+            given.append((len(given), f"http://{host}/{i}", page(tag, *text)))
+            expected[len(given) - 1] = " ".join(text)
+    for i in range(4):  # copies only: nothing tells a template, the element does
+        given.append((len(given), f"http://e/{i}", page("article", *same)))
+        expected[len(given) - 1] = " ".join(["Read on any device", *same])
+    rows = spark.createDataFrame(given, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_template.extract_pages(spark, rows).collect()} == expected
+
+
 def test_stages_count_rows_not_ids(spark, tmp_path):
     """Null and repeated ids: one row of each component stays, and only the rows with an item go."""
     item = " ".join(f"word{i}x" for i in range(20))
