@@ -275,6 +275,26 @@ def test_toxicity_reads_words_to_their_end(spark):
     assert len(taken[0]) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(400))
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark):
+    """Words that only rows beyond the sample hold change their scores, and reruns agree."""
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("abcdeo"), 4))
+    texts = [" ".join([word() for _ in range(10)] + ["badly"] * (i % 2)) for i in range(1500)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1500)], "doc_id long, toxic int")
+    given = docs(spark, texts)
+    known = [i for i in range(1500) if zlib.crc32(str(i).encode()) % 5]
+    few = labels.where(F.col("doc_id").isin(known)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(100)
+    first = {r.doc_id for r in few.collect()}
+    late = [i for i in known if i not in first and i % 2]
+    texts = [t.replace("badly", "worsen") if i in set(late) else t for i, t in enumerate(texts)]
+    given = docs(spark, texts)
+    models = [train_toxicity(given, labels, sample=100) for _ in range(2)]
+    assert np.array_equal(models[0].flat(), models[1].flat()) and np.array_equal(models[0].shift, models[1].shift)
+    tail = [word() for _ in range(10)]
+    got = score_toxicity(docs(spark, [" ".join(tail), " ".join([*tail, "worsen"])]), models[0]).orderBy("doc_id").collect()
+    assert got[0].score < 0.5 < got[1].score
+
+
 def test_jaccard_awkward_rows(spark):
     """Repeated ids and rows, null ids, ties, clashing columns, one very long text, and no rows at all."""
     long = " ".join(f"v{i}" for i in range(40_000))
