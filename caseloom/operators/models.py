@@ -43,8 +43,11 @@ def class_weights(df: DataFrame, label: str = spec.LABEL) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str = spec.LABEL, name: str = WEIGHT) -> DataFrame:
-    """Attach each row's class weight; the two weights are a scalar subquery, nothing is joined."""
-    weights = class_weights(df, label).select(F.struct("weight_positive", "weight_negative")).scalar()
+    """Attach each row's class weight; the two weights are a scalar subquery, nothing is joined.
+
+    They are stored, as a fit makes many passes and each would count the classes again.
+    """
+    weights = checkpointed(class_weights(df, label)).select(F.struct("weight_positive", "weight_negative")).scalar()
     return df.withColumn(
         name,
         F.when(F.col(label) == 1, weights.getField("weight_positive")).otherwise(weights.getField("weight_negative")),

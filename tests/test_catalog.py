@@ -149,3 +149,10 @@ def test_raw_columns_bring_only_their_joins(spark, folder):
     whole = raw_encounters(spark, folder).select("row_id", "bmi", F.col("`race:Other`"))
     assert some.exceptAll(whole).count() == whole.exceptAll(some).count() == 0
     assert raw_encounters(spark, folder, ["location"]).exceptAll(raw_encounters(spark, folder).select("row_id", "location")).count() == 0
+
+
+def test_model_parts_are_stored_apart(spark, folder):
+    parts = queries._model_parts(spark, folder)
+    text = plan(parts["train"])
+    assert "md5" not in text and "Join" not in text and re.search(r"PartitionFilters: \[[^\]]*split", text)
+    assert sum(p.count() for p in parts.values()) == queries._model_rows(spark, folder).count()
