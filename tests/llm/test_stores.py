@@ -73,3 +73,23 @@ def test_a_family_of_near_copies_keeps_its_links(spark):
     got = {r.doc_id: r.component_id for r in jaccard_components(spark, docs, chunk=32).collect()}
     assert got == {i: root(i) for i in range(len(texts))}
     assert len(set(got.values())) > 1
+
+
+def test_copies_with_too_much_of_their_own_are_not_compared(spark, monkeypatch):
+    """Sixty texts that share 70% of their shingles, in which no two can link; a pair of them does, by a copy spelt twice."""
+    from caseloom.llm import jaccard
+
+    base = [f"b{i}" for i in range(200)]
+    texts = [" ".join([*base, *(f"own{i}x{j}" for j in range(85))]) for i in range(60)]
+    rows = [*enumerate(texts), (60, texts[0].replace("own0x84", "z")), (60, texts[0].replace("own0x84", "Z"))]
+    written = {}
+
+    def counted(spark, df, label):
+        table = store(spark, df, label)
+        written[label] = max(written.get(label, 0), table.select("c").distinct().count() if "c" in table.columns else 0)
+        return table
+
+    monkeypatch.setattr(jaccard, "store", counted)
+    got = [(r.doc_id, r.component_id) for r in jaccard_components(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got) == [*((i, i) for i in range(60)), (60, 0), (60, 0)]
+    assert written["jac-classes"] == 61 and written["jac-posts"] == 2
