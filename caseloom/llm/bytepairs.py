@@ -178,6 +178,21 @@ class Prefixes:
         return len(self.data) - start
 
 
+class _Pieces(dict):
+    """Encoded pieces, remembered; long ones, which seldom come again, in `long` until a block ends."""
+
+    def __init__(self, encoder: PrefixEncoder):
+        super().__init__()
+        self.encoder, self.long = encoder, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.long.get(piece)
+        if found is None:
+            found = array("I", self.encoder.piece(piece.encode())).tobytes()
+            (self if len(piece) <= PIECE_LENGTH_KEPT else self.long)[piece] = found
+        return found
+
+
 class TextEncoder:
     """Whole texts: split by the pattern, each match encoded on its own, short ones remembered."""
 
@@ -189,22 +204,16 @@ class TextEncoder:
         space = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}")
         self.split = regex.compile(space.replace(r"\S", r"\P{White_Space}"))
         self.pieces = PrefixEncoder(ranks, halves)
-        self._known: dict[str, bytes] = {}
+        self._known = _Pieces(self.pieces)
 
     def encode(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers, the layout of token files."""
         out, known = [], self._known
         for block in self._blocks(text):
-            new = [p for p in set(block) if p not in known]
-            for piece in new:
-                known[piece] = array("I", self.pieces.piece(piece.encode())).tobytes()
-            out.append(b"".join([known[p] for p in block]))
+            out.append(b"".join(map(known.__getitem__, block)))
+            known.long.clear()
             if len(known) > PIECES_KEPT:
                 known.clear()
-                continue
-            for piece in new:
-                if len(piece) > PIECE_LENGTH_KEPT:
-                    del known[piece]
         return b"".join(out)
 
     def _blocks(self, text: str) -> Iterator[list[str]]:
@@ -255,9 +264,9 @@ def encode_texts(
         encoder = None
         for batch in batches:
             encoder = encoder or TextEncoder(shared.value[0], pattern, shared.value[1])
-            for k, t in zip(batch.column(0), batch.column(1)):
+            for k, t in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = encoder.encode(t.as_py() or "")
-                yield k.as_py(), len(ids) // 4, ids
+                yield k, len(ids) // 4, ids
 
     given = docs.select(F.col(f"`{key}`").cast("string").alias("k"), F.col(f"`{text}`").alias("t"))
     out = given.mapInArrow(lambda b: _in_pieces(rows(b), schema), "k string, n_tokens long, ids binary")
